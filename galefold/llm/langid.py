@@ -169,7 +169,7 @@ def identify(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
     return predicted(docs, model, text_col, keep or [id_col])
 
 
-def accepted(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings: float) -> DataFrame:
+def accepted(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings: float) -> DataFrame:
     """The rows of ``docs`` whose language is known with a posterior of at least ``least``."""
     model = fit(docs.where(~held_out(id_col)), text_col, lang_col, id_col, **settings)
     found = predicted(docs, model, text_col, docs.columns, ("__gf_lang", "__gf_score"))

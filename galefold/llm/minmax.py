@@ -7,10 +7,11 @@ joins rows of different permutations, which keeps its rows independent even for
 * Equal shingle sets are collapsed first (a map-side combined aggregation), so thousands of copies
   cost one row from there on.
 * Documents that share a band are candidates. First, every document is held against the smallest
-  document of any of its buckets; then, only in buckets that still hold more than one component,
-  a few further documents a round are held against all documents of other components. A document
-  that was held against its whole bucket leaves it. This ends when no bucket is mixed, so no link
-  between components is left out, and no round makes more than ``hubs`` pairs a row.
+  document of any of its buckets. Then, where buckets with the same smallest document still hold
+  several components, all documents outside of the largest one are held against all the others.
+  They meet in units of about ``QUERIES`` by ``ROWS`` documents, streamed through bounded memory: a unit's
+  queries are held, its rows pass by, and only links leave. So no pairs are listed, no group of any
+  size comes into one task, and no link between components is left out.
 * Each candidate is confirmed on the full shingle sets (tuples of words, not hashes).
 * Components come from contraction: each round every document adopts the smallest label near it.
 
@@ -34,6 +35,8 @@ from galefold.llm.shared import Scratch, texts_of, type_of
 
 #: Bits of the id filter that goes to the scan (at most 512 KB, whatever the input).
 FILTER_BITS = 1 << 22
+#: Documents that a task of the second comparison holds, and that pass it, about.
+QUERIES, ROWS = 64, 256
 
 
 def lowered(text: str) -> bytes:
@@ -137,13 +140,9 @@ def alike(a: set, b: set, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``: whether the full sets of both texts are alike.
-
-    Only rows that a fixed-size filter of the ids lets through are shuffled; the joins are exact.
-    """
-    spark = pairs.sparkSession
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+def texts_named(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (doc_id, text) that a filter of fixed size of the column ``id`` lets through; others may be among them."""
+    spark = ids.sparkSession
     slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
     bits = np.zeros(FILTER_BITS, bool)
     bits[slots] = True
@@ -154,14 +153,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
         for batch in batches:
             yield batch.filter(pa.array(own[batch.column(2).to_numpy()])).select([0, 1])
 
+    slotted = texts.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int").alias("slot"))
+    return slotted.mapInArrow(wanted, f"doc_id {type_of(texts, 'doc_id')}, text string")
+
+
+def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose full sets are alike."""
     kind = type_of(texts, "doc_id")
-    some = (
-        texts.where("doc_id IS NOT NULL")
-        .select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int").alias("slot"))
-        .mapInArrow(wanted, f"doc_id {kind}, text string")
-    )
-    first = pairs.join(some.withColumnRenamed("doc_id", "b").withColumnRenamed("text", "text_b"), "b")
-    both = first.join(some.withColumnRenamed("doc_id", "a").withColumnRenamed("text", "text_a"), "a").select("a", "b", "text_a", "text_b")
+    some = texts_named(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), texts)
+    first = pairs.join(some.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
+    both = first.join(some.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, set()
@@ -171,9 +172,48 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 if (hub, a) != last:
                     last, known = (hub, a), word_tuples(a, words)
                 found.append(alike(known, word_tuples(b, words), percent))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], names=["a", "b", "linked"])
+            yield batch.select([0, 1]).filter(pa.array(found, pa.bool_()))
+
+    return both.mapInArrow(compare, f"a {kind}, b {kind}")
 
-    return both.mapInArrow(compare, f"a {kind}, b {kind}, linked boolean")
+
+def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between documents of one group and different components; ``members``: (group, rep, comp).
+
+    In each group, the documents outside of its largest component are the queries.
+    """
+    kind = type_of(texts, "doc_id")
+    parts = members.groupBy("group", "comp").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("group").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest")).where("most < n")
+    shares = sizes.select("group", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
+    dealt = members.join(shares, "group")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("salt", F.pmod(F.xxhash64("comp", "rep"), F.col("salts")).cast("int"))
+    queries = dealt.where("comp <> largest").select("group", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), "rep", "comp")
+    passing = dealt.select("group", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), "rep", "comp")
+    some = texts_named(dealt.select(F.col("rep").alias("id")), texts)
+    met = queries.union(passing).join(some, F.col("rep") == F.col("doc_id")).select("group", "block", "salt", "role", "rep", "comp", "text")
+    units = met.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "group", "block", "salt").sortWithinPartitions("group", "block", "salt", "role")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held = None, []
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for *key, role, rep, comp, text in zip(*columns, texts_of(batch.column(6)), strict=True):
+                if key != unit:
+                    unit, held = key, []
+                own = word_tuples(text, words)
+                if role == 0:
+                    held.append((rep, comp, own))
+                    continue
+                for other, its_comp, its in held:
+                    if comp != its_comp and alike(own, its, percent):
+                        a.append(min(rep, other))
+                        b.append(max(rep, other))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.types[4]), pa.array(b, batch.schema.types[4])], names=["a", "b"])
+
+    return units.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -186,7 +226,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     labels = None
     while True:
         ends = edges.union(edges.select("v", "u"))
-        hop = ends.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("to"))
+        hop = scratch.keep(ends.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("to")))
         if labels is None:
             labels = hop.select(F.col("at").alias("node"), F.col("to").alias("comp"))
         else:
@@ -207,7 +247,6 @@ def near_duplicates(
     percent: int = 75,
     permutations: int = 64,
     rows: int = 4,
-    hubs: int = 6,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable over links), kept (it is that id).
 
@@ -226,26 +265,16 @@ def near_duplicates(
 
     # Each document against the smallest one of its buckets.
     pairs = active.groupBy("rep").agg(F.min("hub").alias("a")).where("a < rep").select("a", F.col("rep").alias("b"))
-    tried = scratch.keep(confirmed(scratch.keep(pairs), texts, words, percent))
-    active = active.select("bucket", "rep")
-    labels = None
-    while True:
-        links = tried.where("linked")
-        labels = components(links.select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")), scratch)
-        owned = active.withColumn("node", F.xxhash64("rep")).join(labels, "node", "left").select("bucket", "rep", F.coalesce("comp", "node").alias("comp"))
-        mixed_buckets = owned.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        active = scratch.keep(owned.join(mixed_buckets, "bucket"))
-        if active.isEmpty():
-            break
-        # A few documents of each mixed bucket against those of other components in it.
-        picks = [F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", F.lit(i))).alias(f"h{i}") for i in range(hubs)]
-        chosen = active.groupBy("bucket").agg(*picks)
-        chosen = scratch.keep(chosen.select("bucket", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(hubs)]))).alias("h")).select("bucket", F.col("h.rep").alias("hub"), F.col("h.comp").alias("hub_comp")))
-        pairs = active.join(chosen, "bucket").where("comp <> hub_comp AND rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        pairs = scratch.keep(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-        if not pairs.isEmpty():
-            tried = tried.union(scratch.keep(confirmed(pairs, texts, words, percent)))
-        active = active.select("bucket", "rep").join(chosen.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti")
+    links = scratch.keep(linked_pairs(scratch.keep(pairs), texts, words, percent))
+    nodes = [F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")]
+    labels = components(links.select(*nodes), scratch)
+
+    # Those still apart, by groups of buckets with the same smallest document.
+    members = active.select(F.col("hub").alias("group"), "rep").distinct().withColumn("node", F.xxhash64("rep"))
+    members = scratch.keep(members.join(labels, "node", "left").select("group", "rep", F.coalesce("comp", "node").alias("comp")))
+    more = scratch.keep(linked_across(members, texts, words, percent))
+    if not more.isEmpty():
+        labels = components(links.union(more).select(*nodes), scratch)
 
     placed = classes.select("set_key", "rep", F.xxhash64("rep").alias("node")).join(labels, "node", "left").select("set_key", "rep", F.coalesce("comp", "node").alias("comp"))
     placed = scratch.keep(placed)
