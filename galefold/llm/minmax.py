@@ -177,7 +177,7 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
     return both.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
-def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between documents of one group and different components; ``members``: (group, rep, comp).
 
     In each group, the documents outside of its largest component are the queries.
@@ -186,7 +186,7 @@ def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int
     parts = members.groupBy("group", "comp").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("group").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest")).where("most < n")
     shares = sizes.select("group", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
-    dealt = members.join(shares, "group")
+    dealt = members.join(scratch.keep(shares), "group")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("salt", F.pmod(F.xxhash64("comp", "rep"), F.col("salts")).cast("int"))
     queries = dealt.where("comp <> largest").select("group", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), "rep", "comp")
     passing = dealt.select("group", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), "rep", "comp")
@@ -260,8 +260,8 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     banded = classes.select("rep", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last")
-    active = scratch.keep(banded.join(full.select("bucket", "hub"), "bucket"))
+    full = scratch.keep(banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("bucket", "hub"))
+    active = scratch.keep(banded.join(full, "bucket"))  # written tables on both sides: a large bucket can be split
 
     # Each document against the smallest one of its buckets.
     pairs = active.groupBy("rep").agg(F.min("hub").alias("a")).where("a < rep").select("a", F.col("rep").alias("b"))
@@ -272,13 +272,13 @@ def near_duplicates(
     # Those still apart, by groups of buckets with the same smallest document.
     members = active.select(F.col("hub").alias("group"), "rep").distinct().withColumn("node", F.xxhash64("rep"))
     members = scratch.keep(members.join(labels, "node", "left").select("group", "rep", F.coalesce("comp", "node").alias("comp")))
-    more = scratch.keep(linked_across(members, texts, words, percent))
+    more = scratch.keep(linked_across(members, texts, words, percent, scratch))
     if not more.isEmpty():
         labels = components(links.union(more).select(*nodes), scratch)
 
     placed = classes.select("set_key", "rep", F.xxhash64("rep").alias("node")).join(labels, "node", "left").select("set_key", "rep", F.coalesce("comp", "node").alias("comp"))
     placed = scratch.keep(placed)
-    roots = placed.groupBy("comp").agg(F.min("rep").alias("root"))
+    roots = scratch.keep(placed.groupBy("comp").agg(F.min("rep").alias("root")))
     of_set = placed.join(roots, "comp").select("set_key", "root")
     component = F.coalesce("root", "doc_id")
     return signs.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left").select(
