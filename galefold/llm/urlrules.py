@@ -77,7 +77,7 @@ def mined(labelled: DataFrame, support: float, confidence: float, lift: float, l
     rules = rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     # A rule goes if some of its tokens alone make a rule that is as sure.
     parts = F.expr("filter(transform(sequence(1, shiftleft(1, size(antecedent)) - 2), m -> filter(antecedent, (x, i) -> (shiftright(m, i) & 1) = 1)), p -> size(p) > 0)")
-    split = rules.withColumn("part", F.explode(parts))
+    split = rules.where(F.size("antecedent") > 1).withColumn("part", F.explode(parts))
     shorter = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("sure"))
     needless = split.join(shorter, "part").where("sure >= confidence").select("antecedent").distinct()
     return rules.join(needless, "antecedent", "left_anti")
