@@ -93,8 +93,9 @@ def scan(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: s
     )
     sizes = [n for _, _, n in {(i, name, n) for i, name, n, _ in known}]
     least, most = min(sizes) * percent // (200 - percent), -(-max(sizes) * (200 - percent) // percent)
-    own = units(docs, id_col, text_col).select("doc_id", "unit", "unit_no", words(F.col("part")).alias("words"))
-    own = own.where(F.size("words") > least).select("doc_id", "unit", "unit_no", bigrams("words").alias("pairs"))
+    # Exploding an array of one binds its value: filters on it aren't pushed below and so don't compute it anew.
+    own = units(docs, id_col, text_col).select("doc_id", "unit", "unit_no", F.explode(F.array(words(F.col("part")))).alias("words"))
+    own = own.where(F.size("words") > least).select("doc_id", "unit", "unit_no", F.explode(F.array(bigrams("words"))).alias("pairs"))
     own = own.where(F.size("pairs").between(least, most)).select("doc_id", "unit", "unit_no", F.size("pairs").alias("unit_bigrams"), F.explode("pairs").alias("pair"))
     met = own.join(F.broadcast(theirs), "pair")  # the fixed templates of this module
     fits = (percent * F.col("unit_bigrams") <= (200 - percent) * F.col("template_bigrams")) & (percent * F.col("template_bigrams") <= (200 - percent) * F.col("unit_bigrams"))
