@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,3 +116,31 @@ def _hex_double(c: Column) -> Column:
     bits = F.when(c < 0, bits.bitwiseOR(F.lit(-(1 << 63)))).otherwise(bits)
     big = F.lpad(F.hex(bits), 16, "0")
     return F.concat(*[F.substring(big, i, 2) for i in range(15, 0, -2)])
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used; nested expressions would multiply otherwise."""
+    return F.transform(F.array(value), use)[0]
+
+
+def wkb_xy(geometry: Column) -> Column:
+    """Longitude and latitude of a little-endian WKB point, null for anything else."""
+
+    def parts(hexed: Column) -> Column:
+        point = hexed.rlike("^0101000000[0-9A-F]{32}$")
+        return F.when(point, F.struct(_double_of(F.substring(hexed, 11, 16)).alias("x"), _double_of(F.substring(hexed, 27, 16)).alias("y")))
+
+    return bound(F.hex(geometry), parts)
+
+
+def _double_of(little: Column) -> Column:
+    """The double of 16 hex digits in little-endian order."""
+
+    def value(bits: Column) -> Column:
+        exponent = F.shiftright(bits, 52).bitwiseAND(F.lit(2047))
+        fraction = bits.bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(2.0**52)
+        size = F.when(exponent == 0, fraction * F.lit(2.0**-1022)).otherwise((fraction + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double")))
+        return F.when(bits < 0, -size).otherwise(size)
+
+    big = F.concat(*[F.substring(little, i, 2) for i in range(15, 0, -2)])
+    return bound(F.conv(big, 16, -10).cast("bigint"), value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,43 @@ def validated(frame: DataFrame, keys: list[str], time: str, bounds: dict[str, tu
     ]
     each = F.array(*[F.struct(F.lit(n).alias("check_name"), p.alias("passed"), F.round(v.cast("double"), 6).alias("metric")) for n, p, v in rows])
     return m.crossJoin(repeated).select(F.inline(each))  # one row each
+
+
+def outside_boxes(frame: DataFrame, lon: str, lat: str, boxes: list[tuple[float, float, float, float]]) -> DataFrame:
+    """located, outside: rows with coordinates, and those of them in none of the boxes (west, south, east, north)."""
+    inside = F.lit(False)
+    for west, south, east, north in boxes:
+        inside = inside | (F.col(lon).between(west, east) & F.col(lat).between(south, north))
+    there = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    return frame.agg(F.count_if(there).alias("located"), F.count_if(there & ~inside).alias("outside"))
+
+
+def unknown_codes(frame: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
+    """Distinct codes that the list doesn't have."""
+    return frame.select(column).where(F.col(column).isNotNull()).distinct().join(allowed.select(column), column, "left_anti")
+
+
+def station_coverage(frame: DataFrame, stations: DataFrame, key: str) -> DataFrame:
+    """present, expected, missing, extra: distinct stations of the rows against those of the list."""
+    seen = frame.select(key).distinct().withColumn("_s", F.lit(1))
+    listed = stations.select(key).distinct().withColumn("_l", F.lit(1))
+    both = seen.join(listed, key, "full_outer")
+    return both.agg(F.count("_s").alias("present"), F.count("_l").alias("expected"), F.count_if(F.col("_s").isNull()).alias("missing"), F.count_if(F.col("_l").isNull()).alias("extra"))
+
+
+def temporal_completeness(frame: DataFrame, key: str, time: str, least_per_day: float = 12, gap_hours: int = 48) -> DataFrame:
+    """One row: stations, those with few reports a day, those with a long gap, median of reports a day; all stations count."""
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    step = at - F.lag(at).over(Window.partitionBy(key).orderBy(time))
+    each = frame.select(key, at.alias("_t"), step.alias("_g")).groupBy(key).agg(F.count("*").alias("n"), F.min("_t").alias("a"), F.max("_t").alias("b"), F.max("_g").alias("g"))
+    per_day = F.col("n") / (F.floor((F.col("b") - F.col("a")) / 86_400_000_000) + 1)
+    return each.withColumn("per_day", per_day).agg(
+        F.count("*").alias("stations"), F.count_if(F.col("per_day") < least_per_day).alias("sparse"), F.count_if(F.col("g") > gap_hours * 3_600_000_000).alias("gapped"), F.median("per_day").alias("median_per_day")
+    )
+
+
+def geometry_check(frame: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """rows, nulls, points, others: kinds by the type bytes of little-endian WKB."""
+    g = F.col(geometry)
+    point = F.hex(F.substring(g, 1, 5)) == "0101000000"
+    return frame.agg(F.count("*").alias("rows"), F.count_if(g.isNull()).alias("nulls"), F.count_if(point).alias("points"), F.count_if(~point).alias("others"))

@@ -120,6 +120,17 @@ def capability_state(expected: Column, observed: Column, accepted: Column, thres
     return state if contradicted is None else F.when((state == "present") & contradicted, "degraded").otherwise(state)
 
 
+def daily_rows(rows: DataFrame, station: str, day: str, time: str, variable: str, accepted: Column, variables: Sequence[str], threshold: float = 0.8) -> DataFrame:
+    """Daily capabilities that count rows of any state, every day and variable a row; both counts end at ``expected``."""
+    names = F.explode(F.array(*map(F.lit, variables))).alias(variable)
+    every = rows.groupBy(station, day).agg(F.count_distinct(time).alias("expected")).select("*", names)
+    seen = rows.groupBy(station, day, variable).agg(F.count("*").alias("_n"), F.count_if(accepted).alias("_good"))
+    full = every.join(seen, [station, day, variable], "left")
+    cap = lambda c: F.least(F.coalesce(c, F.lit(0).cast("bigint")), "expected")
+    counted = full.select(station, day, variable, "expected", cap("_n").alias("observed"), cap("_good").alias("accepted"))
+    return counted.withColumn("state", capability_state(F.col("expected"), F.col("observed"), F.col("accepted"), threshold))
+
+
 def confusion(rows: DataFrame, truth: Column, guess: Column) -> DataFrame:
     """False positives and negatives with their rates; 0.0 for a class without members."""
     fp, fn = F.count_if(guess & ~truth), F.count_if(~guess & truth)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from galefold.functions import columns as C
-from galefold.operators import checks, frames, places, sequences, spans
+from galefold.operators import checks, frames, places, reconcile, sequences, spans
 from galefold.sources import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,9 +91,9 @@ def suspicious_by_station(s, d):
     return t(s, d, "lineitem").where("l_discount = 0.05D").groupBy("l_suppkey").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "l_suppkey").limit(20)
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) % 7 = 0")
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50")
 def json_extract(s, d):
-    return t(s, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k")).where("k % 7 = 0")
+    return t(s, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k")).where("k >= 50")
 
 
 # --- aggregation ---------------------------------------------------------------------------------
@@ -233,23 +233,23 @@ def enrich_left_join(s, d):
     return t(s, d, "events").join(stations, "user_id", "left").select("event_id", "user_id", "c_mktsegment", "n_name")
 
 
-@query("""WITH s AS (SELECT c_custkey AS user_id, c_mktsegment AS kind FROM customer WHERE c_custkey % 2 = 0),
+@query("""WITH s AS (SELECT c_custkey AS user_id, c_mktsegment AS kind FROM customer WHERE c_acctbal > 0),
 k AS (SELECT user_id, arg_max(event_type, (ts, event_type)) AS kind FROM events WHERE event_type <> 'error' AND user_id NOT IN (SELECT user_id FROM s) GROUP BY user_id)
 SELECT e.event_id, e.user_id, m.kind FROM events e LEFT JOIN (SELECT * FROM s UNION ALL SELECT * FROM k) m USING (user_id)""")
 def enrich_last_known(s, d):
     rows = t(s, d, "events").withColumn("kind", F.when(F.col("event_type") != "error", F.col("event_type")))
-    stations = t(s, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("kind"))
+    stations = t(s, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("kind"))
     return frames.enriched(rows, stations, "user_id", "ts", ["kind"], "kind").select("event_id", "user_id", "kind")
 
 
-@query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
+@query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def anti_existing_only(s, d):
-    return t(s, d, "events").select("user_id").distinct().join(t(s, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("user_id")), "user_id", "left_anti")
+    return t(s, d, "events").select("user_id").distinct().join(t(s, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("user_id")), "user_id", "left_anti")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey < 300 EXCEPT SELECT user_id FROM events")
+@query("SELECT c_custkey FROM customer EXCEPT SELECT user_id FROM events")
 def unresolved_ids(s, d):
-    return t(s, d, "customer").where("c_custkey < 300").select("c_custkey").subtract(t(s, d, "events").select(F.col("user_id").alias("c_custkey")))
+    return t(s, d, "customer").select("c_custkey").subtract(t(s, d, "events").select(F.col("user_id").alias("c_custkey")))
 
 
 @query("SELECT hour, coalesce(a.n, 0) AS clicks, coalesce(b.n, 0) AS errors FROM (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1) b USING (hour)")
@@ -303,21 +303,21 @@ def dedup_keep_last(s, d):
 
 
 @query(f"""SELECT {_LINE} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY origin DESC, {_LAST}) AS n FROM
-(SELECT *, 0 AS origin FROM lineitem WHERE l_suppkey % 2 = 0 UNION ALL SELECT * REPLACE (l_quantity + 1 AS l_quantity), 1 AS origin FROM lineitem WHERE l_suppkey % 3 = 0)) WHERE n = 1""")
+(SELECT *, 0 AS origin FROM lineitem UNION ALL SELECT * REPLACE (l_quantity + 1 AS l_quantity), 1 AS origin FROM lineitem WHERE l_returnflag = 'R')) WHERE n = 1""")
 def upsert_merge(s, d):
     rows = t(s, d, "lineitem")
-    fetched = rows.where("l_suppkey % 3 = 0").withColumn("l_quantity", F.col("l_quantity") + 1)
-    return frames.upsert(rows.where("l_suppkey % 2 = 0"), fetched, ["l_orderkey", "l_linenumber"], _newest()).select(*_LINE.split(", "))
+    fetched = rows.where("l_returnflag = 'R'").withColumn("l_quantity", F.col("l_quantity") + 1)
+    return frames.upsert(rows, fetched, ["l_orderkey", "l_linenumber"], _newest()).select(*_LINE.split(", "))
 
 
-_BEFORE = "SELECT event_id, event_type, value FROM events WHERE event_id % 5 <> 0"
-_AFTER = "SELECT event_id, event_type, CASE WHEN event_id % 7 = 0 THEN value + 1 WHEN event_id % 11 = 0 THEN NULL ELSE value END AS value FROM events WHERE event_id % 6 <> 0"
+_BEFORE = "SELECT event_id, event_type, value FROM events WHERE value >= 25"
+_AFTER = "SELECT event_id, event_type, CASE event_type WHEN 'view' THEN value + 1 WHEN 'error' THEN NULL ELSE value END AS value FROM events WHERE value <= 450"
 
 
 def _versions(s, d):
     e = t(s, d, "events").select("event_id", "event_type", "value")
-    value = F.when(F.col("event_id") % 7 == 0, F.col("value") + 1).when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("value"))
-    return e.where("event_id % 5 <> 0"), e.where("event_id % 6 <> 0").withColumn("value", value)
+    value = F.when(F.col("event_type") == "view", F.col("value") + 1).when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value"))
+    return e.where("value >= 25"), e.where("value <= 450").withColumn("value", value)
 
 
 _DIFF = f"SELECT coalesce(b.event_id, a.event_id) AS event_id, CASE WHEN b.event_id IS NULL THEN 'added' WHEN a.event_id IS NULL THEN 'removed' ELSE 'changed' END AS kind FROM ({_BEFORE}) b FULL JOIN ({_AFTER}) a ON a.event_id = b.event_id WHERE a.event_id IS NULL OR b.event_id IS NULL OR a.value IS DISTINCT FROM b.value OR a.event_type IS DISTINCT FROM b.event_type"
@@ -328,15 +328,15 @@ def key_diff_added_removed_changed(s, d):
     return frames.key_diff(*_versions(s, d), ["event_id"], ["event_type", "value"])
 
 
-@query(f"SELECT * FROM ({_DIFF}) WHERE event_id IN (SELECT event_id FROM events WHERE event_id % 2 = 0)")
+@query(f"SELECT * FROM ({_DIFF}) WHERE event_id IN (SELECT event_id FROM events WHERE event_type IN ('click', 'view'))")
 def three_way_withhold(s, d):
-    return frames.withheld(*_versions(s, d), t(s, d, "events").where("event_id % 2 = 0"), ["event_id"], ["event_type", "value"])
+    return frames.withheld(*_versions(s, d), t(s, d, "events").where("event_type IN ('click', 'view')"), ["event_id"], ["event_type", "value"])
 
 
-@query(f"SELECT count(*) AS n FROM ({_AFTER}) FULL JOIN (SELECT event_id FROM events WHERE event_id % 2 = 0 AND event_id NOT IN (SELECT event_id FROM ({_DIFF}))) USING (event_id)")
+@query(f"SELECT count(*) AS n FROM ({_AFTER}) FULL JOIN (SELECT event_id FROM events WHERE event_type IN ('click', 'view') AND event_id NOT IN (SELECT event_id FROM ({_DIFF}))) USING (event_id)")
 def three_way_rebase(s, d):
     before, after = _versions(s, d)
-    fetched = t(s, d, "events").where("event_id % 2 = 0").select("event_id", "event_type", "value")
+    fetched = t(s, d, "events").where("event_type IN ('click', 'view')").select("event_id", "event_type", "value")
     held = frames.withheld(before, after, fetched, ["event_id"], ["event_type", "value"])
     return frames.rebased(after, fetched, held, ["event_id"]).agg(F.count("*").alias("n"))
 
@@ -442,10 +442,10 @@ def supersession_anti(s, d):
     return able.join(able.alias("b"), same & F.col("a.period_seconds").eqNullSafe(F.col("b.period_seconds")), "left_semi").select("revision_id")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, variable, value FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS quantity, l_discount * 100 AS discount, l_tax AS tax FROM lineitem WHERE l_suppkey % 10 = 1) UNPIVOT (value FOR variable IN (quantity, discount, tax))")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, variable, value FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS quantity, l_discount * 100 AS discount, l_tax AS tax FROM lineitem) UNPIVOT (value FOR variable IN (quantity, discount, tax))")
 def unpivot_variables(s, d):
     fields = [("l_quantity", "quantity", "1", "sum", None, 1.0), ("l_discount", "discount", "percent", "mean", None, 100.0), ("l_tax", "tax", "1", "mean", None, 1.0)]
-    rows = t(s, d, "lineitem").where("l_suppkey % 10 = 1")
+    rows = t(s, d, "lineitem")
     return reports.long_rows(rows, fields, ["l_orderkey", "l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "variable", F.col("value_float").alias("value"))
 
 
@@ -509,11 +509,11 @@ def knn_haversine(s, d):
     return places.nearest(_places(s, d), 40.6, -73.8, 5).select("station", rounded(F.col("distance_km"), "distance_km"))
 
 
-@query(f"""WITH k AS (SELECT station, {_KM} AS km FROM {_PLACES} WHERE station < 150 ORDER BY km, station LIMIT 8),
+@query(f"""WITH k AS (SELECT station, {_KM} AS km FROM {_PLACES} WHERE station IN (SELECT user_id FROM events) ORDER BY km, station LIMIT 8),
 j AS (SELECT date_trunc('day', ts)::TIMESTAMP AS day, value, km FROM events JOIN k ON k.station = user_id)
 SELECT day, count(*) AS stations, round(sum(value / power(km, 2)) / sum(1 / power(km, 2)), 7) AS interpolated FROM j GROUP BY day HAVING count(*) >= 2""")
 def idw_interpolate(s, d):
-    near = places.nearest(_places(s, d).where("station < 150"), 40.6, -73.8, 8).select(F.col("station").alias("user_id"), "distance_km")
+    near = places.nearest(_places(s, d).join(t(s, d, "events").select(F.col("user_id").alias("station")), "station", "left_semi"), 40.6, -73.8, 8).select(F.col("station").alias("user_id"), "distance_km")
     rows = t(s, d, "events").join(F.broadcast(near), "user_id").withColumn("day", C.day(F.col("ts")))  # eight rows
     return places.interpolated(rows, "day", "value").select("day", "stations", rounded(F.col("interpolated"), "interpolated"))
 
@@ -538,11 +538,11 @@ def unit_consistency(s, d):
     return t(s, d, "events").agg(F.count("*").alias("n"), F.count_if(F.abs(c - C.celsius(F.col("value"))) <= 0.5).alias("consistent"))
 
 
-_SPANS = "(SELECT o_orderkey AS id, o_orderdate AS \"start\", o_orderdate + INTERVAL 45 DAY AS \"end\" FROM orders WHERE o_orderkey % 50 = 1)"
+_SPANS = "(SELECT o_orderkey AS id, o_orderdate AS \"start\", o_orderdate + INTERVAL 45 DAY AS \"end\" FROM orders)"
 
 
 def _spans(s, d):
-    return t(s, d, "orders").where("o_orderkey % 50 = 1").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("start"), (F.col("o_orderdate") + F.expr("interval 45 days")).alias("end"))
+    return t(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("start"), (F.col("o_orderdate") + F.expr("interval 45 days")).alias("end"))
 
 
 def _split_sql(unit: str) -> str:
@@ -583,3 +583,115 @@ def geojson_parse(s, d):
 def xml_parse(s, d):
     payload = """<om:ObservationCollection xmlns:om="urn:om"><om:member><om:Observation><om:metadata><set><identification-elements><element name="dat_pvdr" value="MSC"/><element name="tc_id" value="ADN"/></identification-elements></set></om:metadata><om:resultTime><gml:TimeInstant><gml:timePosition>2026-08-10T05:01:00Z</gml:timePosition></gml:TimeInstant></om:resultTime><om:result><elements><element name="air_temp" uom="degC" value="20.1"/><element name="pcpn_amt" uom="mm" value="MSNG"/></elements></om:result></om:Observation></om:member></om:ObservationCollection>"""
     return reports.observation_xml(s.createDataFrame([(payload,)], "content string"))
+
+
+# --- reconciliation ------------------------------------------------------------------------------
+
+_IN_WINDOW = "ts >= '2024-01-05' AND ts < '2024-01-20'"
+_OLD = "SELECT user_id, ts, min(value) AS value, min(event_type) AS kind FROM events WHERE value >= 25 GROUP BY user_id, ts"
+_NEW = "SELECT user_id, ts, min(CASE WHEN event_type = 'view' THEN value + 1 ELSE value END) AS value, min(CASE WHEN event_type = 'error' THEN 'click' ELSE event_type END) AS kind FROM events WHERE value <= 450 GROUP BY user_id, ts"
+
+
+def _partitions(s, d):
+    e = t(s, d, "events")
+    value = F.when(F.col("event_type") == "view", F.col("value") + 1).otherwise(F.col("value"))
+    kind = F.when(F.col("event_type") == "error", "click").otherwise(F.col("event_type"))
+    old = e.where("value >= 25").groupBy("user_id", "ts").agg(F.min("value").alias("value"), F.min("event_type").alias("kind"))
+    return old, e.where("value <= 450").groupBy("user_id", "ts").agg(F.min(value).alias("value"), F.min(kind).alias("kind"))
+
+
+def _compared(s, d):
+    wanted = t(s, d, "customer").select(F.col("c_custkey").alias("user_id"), F.lit("click").alias("kind"))
+    return reconcile.compared(*_partitions(s, d), ["user_id", "ts"], ["value"], ["kind"], F.expr("ts >= timestamp_ntz'2024-01-05' AND ts < timestamp_ntz'2024-01-20'"), wanted)
+
+
+_REPORT = f"""SELECT count(b_n) AS rows_before, count(a_n) AS rows_after, 0::BIGINT AS repeated_before, 0::BIGINT AS repeated_after, count(*) FILTER (WHERE b_n IS NULL) AS added, count(*) FILTER (WHERE a_n IS NULL) AS removed,
+count(*) FILTER (WHERE changed) AS changed, count(*) FILTER (WHERE described) AS metadata_changed, count(*) FILTER (WHERE b_n IS NULL AND NOT inside) AS added_outside, count(*) FILTER (WHERE changed AND NOT inside) AS changed_outside,
+count(*) FILTER (WHERE described AND NOT (a_kind = 'click' AND user_id IN (SELECT c_custkey FROM customer))) AS metadata_unexpected, true AS balanced
+FROM (SELECT user_id, ({_IN_WINDOW}) AS inside, b.n AS b_n, a.n AS a_n, a.kind AS a_kind, a.n = 1 AND b.n = 1 AND a.value IS DISTINCT FROM b.value AS changed, a.n = 1 AND b.n = 1 AND a.kind IS DISTINCT FROM b.kind AS described
+FROM (SELECT *, 1 AS n FROM ({_OLD})) b FULL JOIN (SELECT *, 1 AS n FROM ({_NEW})) a USING (user_id, ts))"""
+
+
+@query(_REPORT)
+def partition_report(s, d):
+    return reconcile.report(_compared(s, d))
+
+
+@query(_REPORT)
+def sharded_report(s, d):
+    dealt = _compared(s, d).withColumn("shard", reconcile.shard(F.col("user_id"), 16))
+    return reconcile.combined(reconcile.report(dealt, "shard"))
+
+
+@query(f"SELECT violation, n FROM (UNPIVOT ({_REPORT}) ON repeated_before, repeated_after, removed, added_outside, changed_outside, metadata_unexpected INTO NAME violation VALUE n) WHERE n > 0")
+def partition_violations(s, d):
+    return reconcile.violations(reconcile.report(_compared(s, d)))
+
+
+@query("""WITH l AS (SELECT c_custkey AS user_id, c_mktsegment AS kind FROM customer WHERE c_acctbal > 0), r AS (SELECT c_custkey AS user_id FROM customer WHERE c_nationkey = 3)
+SELECT user_id, kind FROM l WHERE user_id NOT IN (SELECT user_id FROM r) UNION ALL
+SELECT user_id, arg_max(event_type, (ts, event_type)) AS kind FROM events WHERE user_id NOT IN (SELECT user_id FROM l) AND user_id NOT IN (SELECT user_id FROM r) GROUP BY user_id""")
+def station_fetch_set(s, d):
+    c = t(s, d, "customer").withColumn("user_id", F.col("c_custkey"))
+    rows = t(s, d, "events").withColumn("kind", F.col("event_type"))
+    return reconcile.fetch_set(c.where("c_acctbal > 0").withColumn("kind", F.col("c_mktsegment")), rows, "user_id", "ts", "kind", c.where("c_nationkey = 3"))
+
+
+@query("SELECT DISTINCT md5(text) AS text_id FROM documents WHERE text IS NOT NULL AND lang = 'en' EXCEPT SELECT md5(text) FROM documents WHERE text IS NOT NULL AND n_chars >= 200")
+def dropped_payloads(s, d):
+    rows = t(s, d, "documents").where("text IS NOT NULL").withColumn("text_id", F.md5(F.col("text").cast("binary")))
+    return reconcile.dropped(rows.where("lang = 'en'"), rows.where("n_chars >= 200"), "text_id")
+
+
+@query("SELECT a.user_id, a.w AS was, b.w AS mark FROM (SELECT user_id, max(ts) AS w FROM events WHERE event_type = 'click' GROUP BY 1) a LEFT JOIN (SELECT user_id, max(ts) AS w FROM events WHERE event_type = 'view' GROUP BY 1) b USING (user_id) WHERE b.w IS NULL OR b.w < a.w")
+def watermark_regressions(s, d):
+    marks = lambda kind: t(s, d, "events").where(F.col("event_type") == kind).groupBy("user_id").agg(F.max("ts").alias("mark"))
+    return reconcile.regressed(marks("click"), marks("view"), "user_id", "mark")
+
+
+@query("SELECT count(DISTINCT user_id) AS present, (SELECT count(*) FROM customer) AS expected, (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)) AS missing, count(DISTINCT user_id) FILTER (WHERE user_id NOT IN (SELECT c_custkey FROM customer)) AS extra FROM events")
+def station_coverage(s, d):
+    return checks.station_coverage(t(s, d, "events"), t(s, d, "customer").select(F.col("c_custkey").alias("user_id")), "user_id")
+
+
+@query("""WITH g AS (SELECT user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS step FROM events),
+u AS (SELECT user_id, count(*) / (floor((max(epoch_us(ts)) - min(epoch_us(ts))) / 86400000000) + 1) AS per_day, max(step) AS gap FROM g GROUP BY user_id)
+SELECT count(*) AS stations, count(*) FILTER (WHERE per_day < 3) AS sparse, count(*) FILTER (WHERE gap > 48 * 3600000000) AS gapped, round(median(per_day), 7) AS median_per_day FROM u""")
+def temporal_completeness(s, d):
+    return checks.temporal_completeness(t(s, d, "events"), "user_id", "ts", 3).withColumn("median_per_day", F.round("median_per_day", 7))
+
+
+@query(f"SELECT count(*) AS located, count(*) FILTER (WHERE NOT (longitude BETWEEN -125 AND -66 AND latitude BETWEEN 24 AND 50) AND NOT (longitude BETWEEN 170 AND 180 AND latitude BETWEEN 50 AND 55)) AS outside FROM {_PLACES}")
+def location_boxes(s, d):
+    return checks.outside_boxes(_places(s, d), "longitude", "latitude", [(-125, 24, -66, 50), (170, 50, 180, 55)])
+
+
+@query("SELECT DISTINCT c_nationkey AS code FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)")
+def unknown_region_codes(s, d):
+    return checks.unknown_codes(t(s, d, "customer").select(F.col("c_nationkey").alias("code")), "code", t(s, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("code")))
+
+
+@query(f"SELECT station, longitude, latitude FROM {_PLACES}")
+def wkb_round_trip(s, d):
+    xy = C.wkb_xy(C.wkb_point(F.col("longitude"), F.col("latitude")))
+    return _places(s, d).select("station", xy["x"].alias("longitude"), xy["y"].alias("latitude"))
+
+
+@query(f"SELECT count(*) AS rows, count(*) FILTER (WHERE latitude < 0) AS nulls, count(*) FILTER (WHERE latitude >= 0) AS points, 0::BIGINT AS others FROM {_PLACES}")
+def geometry_kinds(s, d):
+    return checks.geometry_check(_places(s, d).withColumn("geometry", C.wkb_point(F.col("longitude"), F.when(F.col("latitude") >= 0, F.col("latitude")))))
+
+
+@query("SELECT event_id, sha256(concat_ws(chr(1), user_id::VARCHAR, event_type, coalesce(props, chr(2)))) AS revision_id FROM events")
+def content_revision_ids(s, d):
+    return t(s, d, "events").select("event_id", C.content_id("user_id", "event_type", "props").alias("revision_id"))
+
+
+@query("""WITH e AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, count(DISTINCT ts) AS expected FROM events GROUP BY 1, 2),
+n AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, event_type AS variable, count(*) AS n, count(*) FILTER (WHERE value > 100) AS good FROM events GROUP BY 1, 2, 3)
+SELECT e.user_id, e.day, v.variable, expected, least(coalesce(n, 0), expected) AS observed, least(coalesce(good, 0), expected) AS accepted,
+CASE WHEN coalesce(n, 0) = 0 THEN 'absent' WHEN least(coalesce(good, 0), expected) / expected < 0.8 THEN 'degraded' ELSE 'present' END AS state
+FROM e CROSS JOIN (VALUES ('click'), ('view'), ('purchase')) v(variable) LEFT JOIN n USING (user_id, day, variable)""")
+def capability_daily_rows(s, d):
+    e = t(s, d, "events").withColumn("day", C.day(F.col("ts")))
+    return sequences.daily_rows(e, "user_id", "day", "ts", "event_type", F.col("value") > 100, ["click", "view", "purchase"]).withColumnRenamed("event_type", "variable")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from galefold import schema
 from galefold.functions import columns as C
-from galefold.operators import frames, sequences, spans
+from galefold.operators import frames, reconcile, sequences, spans
 from galefold.sources import partitions, reports
 from galefold.streaming import upserts
 
@@ -143,3 +143,29 @@ def test_contract(spark):
     frame = schema.conform(spark.createDataFrame([tuple(good.values())], "quality string, value_state string, value_float double, raw_sha256 string, is_trace boolean"), schema.NORMALIZED)
     assert schema.violations(frame).count() == 0
     assert [r["invariant"] for r in schema.violations(frame.withColumn("value_float", F.lit(None).cast("double"))).collect()] == ["observed without value"]
+
+
+@pytest.mark.parametrize("x,y", [(-73.7789, 40.6397), (0.0, -0.5), (180.0, 90.0), (5e-324, -89.999999)])
+def test_wkb_decoded(spark, x, y):
+    frame = spark.createDataFrame([(struct.pack("<BIdd", 1, 1, x, y),), (b"\x01\x02",), (None,)], "g binary")
+    got = [r[0] and tuple(r[0]) for r in frame.select(C.wkb_xy(F.col("g"))).collect()]
+    assert got == [(x, y), None, None]
+
+
+def test_report_of_two_versions(spark):
+    kind = "station string, valid int, value double, country string"
+    old = spark.createDataFrame([("a", 1, 1.0, "X"), ("a", 2, None, "X"), ("b", 1, 3.0, None), ("b", 1, 3.0, None)], kind)
+    new = spark.createDataFrame([("a", 1, 2.0, "X"), ("a", 2, None, "Y"), ("c", 9, 1.0, "X")], kind)
+    wanted = spark.createDataFrame([("a", "X")], "station string, country string")
+    keyed = reconcile.compared(old, new, ["station", "valid"], ["value"], ["country"], F.col("valid") < 5, wanted)
+    whole = reconcile.report(keyed).head().asDict()
+    assert whole == {"rows_before": 4, "rows_after": 3, "repeated_before": 1, "repeated_after": 0, "added": 1, "removed": 1, "changed": 1, "metadata_changed": 1, "added_outside": 1, "changed_outside": 0, "metadata_unexpected": 1, "balanced": True}
+    parts = reconcile.report(keyed.withColumn("shard", reconcile.shard(F.col("station"), 4)), "shard")
+    assert reconcile.combined(parts).head().asDict() == whole
+    assert rows(reconcile.violations(reconcile.report(keyed))) == [("added_outside", 1), ("metadata_unexpected", 1), ("removed", 1), ("repeated_before", 1)]
+
+
+def test_station_identity(spark):
+    frame = spark.sql("SELECT * FROM VALUES ('7', 'MSC', 'ADN', null), ('', 'MSC', 'ADN', '9'), (null, 'MSC', ' ', '9'), (null, 'MSC', null, null), (null, null, 'ADN', null) AS v(m, p, t, s)")
+    got = [r[0] for r in frame.select(reconcile.station_identity(*[F.col(c) for c in "mpts"])).collect()]
+    assert got == ["7", "MSC:ADN", "MSC:9", None, None]
