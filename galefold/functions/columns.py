@@ -114,8 +114,7 @@ def _hex_double(c: Column) -> Column:
     biased = F.when(magnitude == 0, F.lit(0)).otherwise(exponent + 1023).cast("bigint")
     bits = F.shiftleft(biased, 52).bitwiseOR(mantissa)
     bits = F.when(c < 0, bits.bitwiseOR(F.lit(-(1 << 63)))).otherwise(bits)
-    big = F.lpad(F.hex(bits), 16, "0")
-    return F.concat(*[F.substring(big, i, 2) for i in range(15, 0, -2)])
+    return bound(F.lpad(F.hex(bits), 16, "0"), lambda big: F.concat(*[F.substring(big, i, 2) for i in range(15, 0, -2)]))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
