@@ -5,6 +5,9 @@ FP-growth mines token combinations of labelled urls; those that imply a block wi
 confidence and lift, and that no shorter rule makes superfluous, match through an inverted index: a rule is
 filed under its rarest token, urls meet it over that token, and the rest of its tokens is then looked up.
 
+A rule needs ``least`` blocked labels besides the support share, and the lower Wilson limit of its confidence
+(``z`` standard deviations) must reach the confidence asked for, so a few labels by chance make no rule.
+
 Only distinct urls are matched, so a url that a third of the rows share is judged once. Nothing is
 broadcast by request; joins of rules leave the choice to measured sizes.
 
@@ -67,13 +70,22 @@ def tokens(url: Column) -> Column:
     return F.coalesce(F.array_distinct(every), F.array().cast("array<string>"))
 
 
-def mined(labelled: DataFrame, support: float, confidence: float, lift: float, longest: int) -> DataFrame:
+def lower_limit(share: Column, n: Column, z: float) -> Column:
+    """Lower limit of Wilson's interval of a share of ``n`` rows."""
+    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def mined(labelled: DataFrame, support: float, confidence: float, lift: float, longest: int, least: int = 5, z: float = 1.645) -> DataFrame:
     """(rule_no, antecedent, confidence, support) of the pruned rules; ``labelled`` has url and blocked (boolean)."""
     rows = labelled.where("url IS NOT NULL AND blocked IS NOT NULL").select(tokens(F.col("url")).alias("t"), "blocked")
     items = rows.select(F.when(F.col("blocked"), F.concat("t", F.array(F.lit(BLOCK_ITEM)))).otherwise(F.col("t")).alias("items")).where(F.size("items") > 0)
     spark = labelled.sparkSession
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence, numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(items)
+    n = max(1, items.count())
+    # Half a row less, so that rounding excludes no combination of just ``least`` rows.
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, (least - 0.5) / n)), minConfidence=confidence, numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(items)
     rules = model.associationRules.where((F.col("consequent")[0] == BLOCK_ITEM) & (F.size("antecedent") <= longest) & (F.col("lift") >= lift))
+    blocked_rows = F.round(F.col("support") * n)
+    rules = rules.where((blocked_rows >= least) & (lower_limit(F.col("confidence"), F.round(blocked_rows / F.col("confidence")), z) >= confidence))
     rules = rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     # A rule goes if some of its tokens alone make a rule that is as sure.
     parts = F.expr("filter(transform(sequence(1, shiftleft(1, size(antecedent)) - 2), m -> filter(antecedent, (x, i) -> (shiftright(m, i) & 1) = 1)), p -> size(p) > 0)")
@@ -101,6 +113,8 @@ def judged(
     confidence: float = 0.6,
     lift: float = 1.5,
     longest: int = 4,
+    least: int = 5,
+    z: float = 1.645,
     id_col: str = "page_id",
     url_col: str = "url",
 ) -> DataFrame:
@@ -109,7 +123,7 @@ def judged(
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     distinct = rows.where("url IS NOT NULL").select("url").distinct()
     open_urls = distinct.where(listed(host(url), path(url), rules or LISTED).isNull())
-    learnt = Scratch(pages.sparkSession, "urlrules").keep(mined(labelled, support, confidence, lift, longest))
+    learnt = Scratch(pages.sparkSession, "urlrules").keep(mined(labelled, support, confidence, lift, longest, least, z))
     hits = matched(open_urls, learnt)
     own = rows.join(hits, "url", "left").select("page_id", host(url).alias("host"), path(url).alias("path"), F.coalesce("hits", F.lit(0).cast("bigint")).alias("mined_hits"))
     own = own.withColumn("listed", listed(F.col("host"), F.col("path"), rules or LISTED))

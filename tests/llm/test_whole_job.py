@@ -1,6 +1,6 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
-from galefold.llm import perplexity
+from galefold.llm import perplexity, urlrules
 
 
 def test_fences_follow_the_spread_of_each_language(spark):
@@ -12,3 +12,11 @@ def test_fences_follow_the_spread_of_each_language(spark):
     assert bounds[2][0] < 1.2 and bounds[2][1] > 1.8
     same = perplexity.fences(spark.createDataFrame([(1, False, 1.5)] * 9, "lang_code int, base_failed boolean, log_ppl double"))
     assert same[1][0] < 1.5 < same[1][1]
+
+
+def test_url_rules_need_rows_enough(spark):
+    """One or two blocked urls among many imply nothing, nor do 6 of 9; 12 of 12 do."""
+    known = [("http://once.org/a", True), ("http://twice.org/b", True), ("http://twice.org/c", True)]
+    known += [(f"http://mostly.org/{x}", i < 6) for i, x in enumerate("defghijkl")] + [("http://always.org/", True)] * 12 + [("http://fine.org/", False)] * 60
+    rules = urlrules.mined(spark.createDataFrame(known, "url string, blocked boolean"), 0.002, 0.6, 1.5, 4).collect()
+    assert [r["antecedent"] for r in rules] == [["host:always"]]
