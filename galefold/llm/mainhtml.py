@@ -6,8 +6,10 @@ notices, adverts, forms, scripts or reader comments, by tag, role or words of cl
 with all they hold. Every block with text of its own passes points to its ancestors: one, one a comma and
 up to three for length; all to the parent, half to the next, a third of a half further on. Scores get a
 bonus by tag and names and are discounted by the share of text in links. The best container stands for
-the article (an article or main element around it comes in its place), with those siblings that score
-near it or are text paragraphs with few links. Blocks are joined in page order.
+the article. An article or main element around it comes in its place, with those siblings that score near it
+or are text paragraphs with few links. Without one, the widest element around it below the body that holds
+few links comes in its place, with headings, paragraphs, lists and sections beside it that hold few links,
+however short, and the loose text around them. Blocks are joined in page order.
 
 Edge cases: a null or empty page, or one without text outside of what is left out, gives an empty text.
 Nesting of any depth is handled without recursion; texts are never cut. Rows are independent of each
@@ -53,6 +55,10 @@ FOREIGN = frozenset(
 )
 COMMENTS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
 OWN = frozenset("article content entry main post story text body".split())
+WHOLE = frozenset("#page html body".split())
+#: Tags of written text: they stay beside the article, and a div that holds a heading or a paragraph does.
+WRITTEN = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p section blockquote pre ul ol dl table figure details address".split())
+WRITING = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 BONUS = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "address": -3.0, "h1": -5.0, "h2": -5.0, "h3": -5.0, "h4": -5.0, "h5": -5.0, "h6": -5.0, "th": -5.0}
 
 
@@ -193,25 +199,40 @@ def main_text(html: str | None) -> str:
     best = max(range(n), key=value.__getitem__)
     if value[best] == float("-inf"):
         return ""
-    at = best
+    least = max(10.0, 0.2 * value[best])
+    at, marked = best, False
     while at >= 0:
         if tags[at] in ("article", "main"):
-            best = at
+            best, marked = at, True
         at = parents[at]
+    if marked:
+        least = max(10.0, 0.2 * value[best])
+    elif tags[best] not in WHOLE:
+        at = parents[best]
+        while tags[at] not in WHOLE:
+            if total_linked[at] <= 0.25 * total[at]:
+                best = at
+            at = parents[at]
+    around = parents[best]
     chosen = {best}
     if best:
-        least = max(10.0, 0.2 * value[best])
+        writes = [tag in WRITING and not o and size > 0 for tag, o, size in zip(tags, out, total, strict=True)]
+        for i in range(n - 1, 0, -1):
+            writes[parents[i]] |= writes[i]
         for i in range(1, n):
-            if parents[i] == parents[best] and i != best and not out[i] and total[i]:
+            if parents[i] == around and i != best and not out[i] and total[i]:
                 few = total_linked[i] <= 0.25 * total[i]
                 if value[i] >= least and few or tags[i] == "p" and few and total[i] > 80:
                     chosen.add(i)
+                elif not marked and few and (tags[i] in WRITTEN or tags[i] == "div" and writes[i]):
+                    chosen.add(i)
+    loose = best > 0 and not marked and linked[block[around]] <= 0.25 * length[block[around]]
     kept = [False] * n
     for i in range(n):
         kept[i] = i in chosen or i > 0 and kept[parents[i]]
         if kept[i] and i not in chosen and tags[i] in ("ul", "ol", "dl", "div", "table", "section") and total[i] and total_linked[i] > 0.6 * total[i]:
             kept[i] = False  # lists of links inside the article
-    return " ".join("".join(" " if t is None else t for i, t in texts if kept[i]).split())
+    return " ".join("".join(" " if t is None else t for i, t in texts if kept[i] or loose and block[i] == block[around]).split())
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

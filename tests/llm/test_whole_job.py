@@ -1,6 +1,6 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
-from galefold.llm import perplexity, urlrules
+from galefold.llm import mainhtml, perplexity, urlrules
 
 
 def test_fences_follow_the_spread_of_each_language(spark):
@@ -20,3 +20,17 @@ def test_url_rules_need_rows_enough(spark):
     known += [(f"http://mostly.org/{x}", i < 6) for i, x in enumerate("defghijkl")] + [("http://always.org/", True)] * 12 + [("http://fine.org/", False)] * 60
     rules = urlrules.mined(spark.createDataFrame(known, "url string, blocked boolean"), 0.002, 0.6, 1.5, 4).collect()
     assert [r["antecedent"] for r in rules] == [["host:always"]]
+
+
+def test_main_text_keeps_short_parts_without_an_article():
+    long = "<p>" + "long, text " * 30 + "</p>"
+    ten = "<section>" + long * 10 + "</section>"
+    note = "<section><h2>Note</h2><p>Short end.</p></section>"
+    nav = "<nav><a href=/>Home</a></nav><div class=related><p>Other news</p></div>"
+    links = "<ul><li><a href=/a>Read this</a><li><a href=/b>and this</a></ul>"
+    assert mainhtml.main_text(f"<body>{nav}<div>{ten}{note}</div>{links}").split()[600:] == ["Note", "Short", "end."]
+    assert mainhtml.main_text(f"<body>{nav}{ten}{note}<div>{note}</div>{links}").split()[600:] == ["Note", "Short", "end."] * 2
+    text = mainhtml.main_text(f"<body>{nav}<h1>Title</h1><div>{long * 10}</div>Loose, <b>bold</b>.<p>The end.</p>{links}").split()
+    assert text[0] == "Title" and text[601:] == ["Loose,", "bold.", "The", "end."]
+    assert len(mainhtml.main_text(f"<body><div><div>{ten}</div>{note}</div>").split()) == 603
+    assert mainhtml.main_text(f"<body><article>{long}</article><section>{note}</section>").split()[-1] == "text"
