@@ -121,8 +121,12 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, train_do
     return Model(languages, np.hstack([log_p, np.zeros((len(languages), 1))]))
 
 
-def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The columns ``keep`` of each row, the predicted language and its posterior probability (0 to 1)."""
+def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[str], names: tuple[str, str] = ("lang_pred", "score"), fit: tuple[str, str] | None = None) -> DataFrame:
+    """The columns ``keep`` of each row, the predicted language and its posterior probability (0 to 1).
+
+    With ``fit``, two more columns of these names: the mean log-probability of an n-gram in that language
+    (null without n-grams), and how many letters the text has.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = keep if text_col in keep else [*keep, text_col]
     at_text, pred, value = columns.index(text_col), *names
@@ -134,28 +138,34 @@ def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[str], nam
         for batch in batches:
             texts = [x or "" for x in texts_of(batch.column(at_text))]
             total = np.zeros((len(model.languages), len(texts)))
-            seen = np.zeros(len(texts), np.int64)
+            seen, n_grams = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
             if model.languages:
                 for at, pieces, _ in blocks(texts):
                     ids, starts, n_letters = grams(pieces, wide)
                     seen[at] += n_letters
+                    if fit:
+                        for x in ids:
+                            n_grams[at] += sums((x != wide).astype(np.int64), starts)
                     for k, row in enumerate(model.log_p):
                         for x in ids:
                             total[k, at] += sums(row[x], starts)
             best = np.full(len(texts), len(model.languages))
-            sure = np.zeros(len(texts))
+            sure, mean = np.zeros(len(texts)), np.full(len(texts), np.nan)
             if model.languages and texts:
+                known = n_grams > 0
+                mean[known] = total.max(0)[known] / n_grams[known]
                 # The orders tell of the same letters, so their evidence counts once.
                 total /= len(ORDERS)
                 top, posterior = total.argmax(0), 1 / np.exp(total - total.max(0)).sum(0)
                 best[seen > 0], sure[seen > 0] = top[seen > 0], posterior[seen > 0]
+            more = [pa.array(mean, pa.float64(), from_pandas=True), pa.array(seen)] if fit else []
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(keep)], pa.array(labels[best].tolist(), pa.string()), pa.array(np.round(sure, 6))],
-                names=[*batch.schema.names[: len(keep)], pred, value],
+                [*batch.columns[: len(keep)], pa.array(labels[best].tolist(), pa.string()), pa.array(np.round(sure, 6)), *more],
+                names=[*batch.schema.names[: len(keep)], pred, value, *(fit or ())],
             )
 
     kinds = ", ".join(f"`{c}` {type_of(docs, c)}" for c in keep)
-    return docs.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(score, f"{kinds}, `{pred}` string, `{value}` double")
+    return docs.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(score, f"{kinds}, `{pred}` string, `{value}` double" + (f", `{fit[0]}` double, `{fit[1]}` bigint" if fit else ""))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -169,8 +179,48 @@ def identify(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
     return predicted(docs, model, text_col, keep or [id_col])
 
 
-def accepted(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings: float) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a posterior of at least ``least``."""
+def ranges(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str, sample: int = 20_000) -> list[tuple[str, float, float]]:
+    """(language, least mean log-probability of its texts, spread of a single n-gram), from about ``sample`` labelled held-out texts a language.
+
+    The least is the texts' median less one spread: junk in a language stays in it, another language or noise
+    lies lower. A language with under 8 such texts takes the mean of its own n-grams for the median.
+    """
+    rows = docs.where(held_out(id_col)).where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    share = F.lit(1.0)
+    for x, n in sizes.items():
+        if n > sample:
+            share = F.when(F.col("lang") == x, sample / n).otherwise(share)
+    rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
+    own = predicted(rows, model, "text", ["lang"], ("pred", "score"), ("mean", "letters")).where("lang = pred AND mean IS NOT NULL")
+    bins = own.groupBy("lang", F.floor(F.col("mean") / 0.01).cast("int").alias("bin")).count()
+    held: dict[str, list[tuple[int, int]]] = {}
+    for r in bins.collect():
+        held.setdefault(r["lang"], []).append((r["bin"], r["count"]))
+    out = []
+    for name, log_p in zip(model.languages, model.log_p, strict=True):
+        p = np.exp(log_p[:-1])
+        mean = float((p * log_p[:-1]).sum())
+        deviation = float(np.sqrt(max(0.0, (p * log_p[:-1] ** 2).sum() - mean**2)))
+        pairs = sorted(held.get(name, []))
+        if sum(n for _, n in pairs) >= 8:
+            places, n = np.array(pairs).T
+            upto = np.cumsum(n)
+            mean = float(0.01 * (places[np.searchsorted(upto, 0.5 * upto[-1])] + 0.5))
+        out.append((name, mean - deviation, deviation))
+    return out
+
+
+def accepted(docs: DataFrame, least: float = 0.3, z: float = 4.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings: float) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a posterior of at least ``least``, and whose n-grams it explains.
+
+    The posterior only compares the languages learnt. So a text must also have a mean log-probability in the
+    range of its language's texts (``ranges``), less ``z`` standard errors of a text of so many letters.
+    """
     model = fit(docs.where(~held_out(id_col)), text_col, lang_col, id_col, **settings)
-    found = predicted(docs, model, text_col, docs.columns, ("__gf_lang", "__gf_score"))
-    return found.where((F.col("__gf_lang") != UNKNOWN) & (F.col("__gf_score") >= least)).drop("__gf_lang", "__gf_score")
+    found = predicted(docs, model, text_col, docs.columns, ("__gf_lang", "__gf_score"), ("__gf_mean", "__gf_letters"))
+    fits = F.lit(False)
+    for name, low, deviation in ranges(docs, model, text_col, lang_col, id_col):
+        fits = F.when(F.col("__gf_lang") == name, F.col("__gf_mean") >= low - z * deviation / F.sqrt("__gf_letters")).otherwise(fits)
+    kept = found.where((F.col("__gf_lang") != UNKNOWN) & (F.col("__gf_score") >= least) & F.coalesce(fits, F.lit(False)))
+    return kept.drop("__gf_lang", "__gf_score", "__gf_mean", "__gf_letters")

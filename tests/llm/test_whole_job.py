@@ -1,6 +1,6 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
-from galefold.llm import mainhtml, perplexity, urlrules
+from galefold.llm import langid, mainhtml, perplexity, urlrules
 
 
 def test_fences_follow_the_spread_of_each_language(spark):
@@ -34,3 +34,11 @@ def test_main_text_keeps_short_parts_without_an_article():
     assert text[0] == "Title" and text[601:] == ["Loose,", "bold.", "The", "end."]
     assert len(mainhtml.main_text(f"<body><div><div>{ten}</div>{note}</div>").split()) == 603
     assert mainhtml.main_text(f"<body><article>{long}</article><section>{note}</section>").split()[-1] == "text"
+
+
+def test_languages_never_learnt_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    texts = ["Съешь ещё этих мягких французских булок, да выпей чаю.", "我们今天去市场买了很多新鲜的水果和蔬菜。"]
+    foreign = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    stays = {r["doc_id"] for r in langid.accepted(docs.union(foreign)).select("doc_id").collect()}
+    assert stays == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
