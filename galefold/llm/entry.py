@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galefold.llm import bpe, decontam, langid, licences, mainhtml, minmax, perplexity, resample, slots, urlrules
+from galefold.llm.shared import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +67,9 @@ def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
-    placed = slots.sharded(table(spark, folder, "documents"), shards=24)
+    """The map of each input folder has a store of its own under the shared folder, and outlives the run."""
+    store = f"{shared_dir(spark)}/galefold-slot-maps/{zlib.crc32(folder.rstrip('/').encode()):08x}"
+    placed = slots.sharded(table(spark, folder, "documents"), store, shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "version")
 
 

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no folder (plain local sessions, tests).
-FALLBACK_DIR = "/tmp/checkpoints"
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or FALLBACK_DIR).rstrip("/")
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where a session on one machine (a local master) names none, a folder of that machine serves; a cluster must name one.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: it must name a folder that the driver and all executors share")
+        named = f"{tempfile.gettempdir()}/galefold-{spark.sparkContext.applicationId}"
+    return named.rstrip("/")
 
 
 class Scratch:
@@ -22,19 +28,40 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark, self.root, self.made = spark, f"{shared_dir(spark)}/galefold-{tag}-{uuid.uuid4().hex}", 0
+        self.paths: dict[int, str] = {}
+        self.frames: list[DataFrame] = []  # keeps the numbers of ``paths`` from being given again
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Write ``frame`` and return it as read from there."""
         self.made += 1
         path = f"{self.root}/{self.made:03d}"
         frame.write.parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
-
-    def drop(self) -> None:
-        """Remove every table written so far; only for when nothing reads them any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        read = self.spark.read.schema(frame.schema).parquet(path)
+        self.paths[id(read)] = path
+        self.frames.append(read)
+        return read
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Remove the tables of ``frames``, or every table written so far; only for when nothing reads them any more."""
+        for path in [self.paths.pop(id(x)) for x in frames] if frames else [self.root]:
+            removed(self.spark, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def listed_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished tables (those with a ``_SUCCESS`` file) right below a folder; none if there is no folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    found = [x.getPath() for x in files.listStatus(place) if x.isDirectory()]
+    return sorted(x.getName() for x in found if files.exists(hadoop.Path(x, "_SUCCESS")))
 
 
 def texts_of(column: pa.Array) -> list[str | None]:

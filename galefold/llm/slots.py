@@ -1,16 +1,22 @@
 """Sharding by fixed virtual slots.
 
 Every record is hashed into one of ``SLOTS`` slots, which never changes. A versioned map says which shard
-owns each slot. The map is made from the bytes of the slots (the largest slot goes to the emptiest shard)
-and later edited: ``rebalanced`` moves the slots that even out the shards, or fill new ones, and leaves the
-others, giving the next version. Maps are tables (version, slot, shard) and are kept for good.
-
-Only sums over ``SLOTS`` slots reach the driver; the map is broadcast, a row for each slot. Places within
-a shard number the rows of each slot on their own and add the sizes of the slots before it, so no task
-sees a whole shard.
-
-Edge cases: a null text has no bytes and the checksum 0; a null id is hashed by its text instead. Repeated
-rows share a slot and get places of their own. Extra columns are ignored.
+owns each slot. The first version is made from the bytes of the slots (the largest slot goes to the emptiest
+shard) and stored; each later run loads the latest version and edits it: ``rebalanced`` moves the slots that
+even out the shards, or fill new ones, and leaves the others. An edit that moves anything is stored as the
+next version. Maps are tables (version, slot, shard) and are kept for good; the one in force is always read
+back from the store.
+
+Only sums over ``SLOTS`` slots reach the driver; the map is broadcast, a row for each slot and each
+``PIECE`` of its rows. Places within a shard number the rows of each such piece on their own and add the
+sizes of the pieces before it, so no task sees a whole shard, nor a whole slot that is large.
+
+Law ``bytes``: shards have near equal sizes. Equal texts under different ids lie in different slots on
+purpose: a text that a third of all rows share would else fill a third of all bytes into one shard.
+
+Edge cases: a null text has no bytes and the checksum 0; rows with a null id are spread over the slots by a
+random number that is written with them. Repeated rows share a slot and get places of their own. Extra
+columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,9 +27,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from galefold.llm.shared import Scratch
+from galefold.llm.shared import Scratch, listed_names
 
 SLOTS = 4096
+#: Rows that one task numbers, about.
+PIECE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -79,17 +87,32 @@ def rebalanced(old: SlotMap, sizes: list[int], shards: int) -> SlotMap:
         totals[empty] += sizes[best]
 
 
-def virtual_slot(id_col: Column, text: Column, slots: int = SLOTS) -> Column:
-    return F.pmod(F.coalesce(F.when(id_col.isNotNull(), F.xxhash64(id_col)), F.xxhash64(text)), F.lit(slots)).cast("int")
+def in_force(spark: SparkSession, path: str, sizes: list[int], shards: int) -> SlotMap:
+    """The map of the store at ``path`` for these bytes by slot: the first version if there is none, else the latest, edited if that evens out the shards."""
+    versions = [int(x[1:]) for x in listed_names(spark, path) if x.startswith("v") and x[1:].isdecimal()]
+    if versions:
+        latest = loaded(spark, path, max(versions))
+        edited = rebalanced(latest, sizes, shards)
+        if edited.shards == latest.shards:
+            return latest
+    else:
+        edited = planned(sizes, shards)
+    edited.saved(spark, path)
+    return loaded(spark, path, edited.version)
+
+
+def virtual_slot(id_col: Column, noise: Column, slots: int = SLOTS) -> Column:
+    return F.when(id_col.isNotNull(), F.pmod(F.xxhash64(id_col), F.lit(slots))).otherwise(F.floor(noise * slots)).cast("int")
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot) of each row."""
+    """(doc_id, size, text_crc32, noise, virtual_slot) of each row."""
     text = F.col(text_col).cast("string")
-    return docs.select(
+    own = docs.select(
         F.col(id_col).alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 8).alias("size"),
-        F.coalesce(F.crc32(text), F.lit(0).cast("bigint")).alias("text_crc32"), virtual_slot(F.col(id_col), text, slots).alias("virtual_slot"),
+        F.coalesce(F.crc32(text), F.lit(0).cast("bigint")).alias("text_crc32"), F.rand(11).alias("noise"),
     )
+    return own.withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("noise"), slots))
 
 
 def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int]]:
@@ -100,22 +123,28 @@ def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int
     return sizes, counts
 
 
-def sharded(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", current: SlotMap | None = None, slots: int = SLOTS) -> DataFrame:
+def sharded(docs: DataFrame, store: str, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS, piece: int = PIECE) -> DataFrame:
     """Per row: doc_id, size, text_crc32, virtual_slot, version, shard, slot (its place in the shard, gapless from 0).
 
-    ``current``: the map in force, which is edited for these rows and this number of shards.
+    ``store``: the folder of the map's versions, which all sessions share. Slots of over ``piece`` rows are numbered in parts.
     """
     spark = docs.sparkSession
     rows = Scratch(spark, "slots").keep(measured(docs, id_col, text_col, slots))
     sizes, counts = slot_sizes(rows, slots)
-    chosen = rebalanced(current, sizes, shards) if current else planned(sizes, shards)
+    chosen = in_force(spark, store, sizes, shards)
+    parts = [max(1, -(-n // piece)) for n in counts]
+    numbers = F.broadcast(spark.createDataFrame([(chosen.version, i, s, n) for i, (s, n) in enumerate(zip(chosen.shards, parts, strict=True))], "version int, virtual_slot int, shard int, parts int"))  # a row for each slot
+    rows = rows.join(numbers, "virtual_slot").withColumn("part", F.floor(F.col("noise") * F.col("parts")).cast("int"))
+    held = {(i, 0): n for i, n in enumerate(counts)}
+    if any(n > 1 for n in parts):  # a row for each slot and each ``piece`` rows of the large ones
+        held |= {(r["virtual_slot"], r["part"]): r["count"] for r in rows.where("parts > 1").groupBy("virtual_slot", "part").count().collect()}
     before, offsets = [0] * shards, []
-    for slot, shard in enumerate(chosen.shards):
-        offsets.append((chosen.version, slot, shard, before[shard]))
-        before[shard] += counts[slot]
-    table = spark.createDataFrame(offsets, "version int, virtual_slot int, shard int, offset bigint")
-    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))
+    for (slot, part), n in sorted(held.items()):
+        offsets.append((slot, part, before[chosen.shards[slot]]))
+        before[chosen.shards[slot]] += n
+    table = spark.createDataFrame(offsets, "virtual_slot int, part int, offset bigint")
+    place = F.row_number().over(Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size"))
     numbered = rows.withColumn("place", place)
-    return numbered.join(F.broadcast(table), "virtual_slot").select(  # a row for each slot
+    return numbered.join(F.broadcast(table), ["virtual_slot", "part"]).select(  # as many rows as ``held``
         "doc_id", "size", "text_crc32", "virtual_slot", "version", "shard", (F.col("offset") + F.col("place") - 1).alias("slot")
     )

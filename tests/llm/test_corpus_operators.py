@@ -298,7 +298,8 @@ def test_url_rules(spark):
 
 
 def test_virtual_slots(spark, docs, tmp_path):
-    got = slots.sharded(docs, shards=3).collect()
+    store = str(tmp_path / "store")
+    got = slots.sharded(docs, store, shards=3, piece=4).collect()
     places = defaultdict(list)
     for r in got:
         places[r["shard"]].append(r["slot"])
@@ -323,14 +324,42 @@ def test_virtual_slots(spark, docs, tmp_path):
         first.saved(spark, path)
 
 
-def test_empty_tables(spark, docs):
+def test_slot_map_is_stored_and_edited(spark, tmp_path):
+    """Version 1 stays in force for the same rows; more rows edit it, and only the slots that even out the shards move."""
+    store = str(tmp_path / "store")
+    make = lambda n: spark.range(n).select(F.col("id").alias("doc_id"), F.expr("repeat('é', int(id % 97))").alias("text"))
+
+    def held(n, shards):
+        rows = slots.sharded(make(n), store, shards=shards, slots=256).collect()
+        assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in rows} == {(i, 8 + 2 * (i % 97), zlib.crc32(("é" * (i % 97)).encode())) for i in range(n)}
+        places, total, owner = defaultdict(list), Counter(), {}
+        for r in rows:
+            places[r["shard"]].append(r["slot"])
+            total[r["shard"]] += r["size"]
+            assert owner.setdefault(r["virtual_slot"], r["shard"]) == r["shard"]
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+        assert len(total) == shards and max(total.values()) - min(total.values()) <= 0.05 * max(total.values())
+        (version,) = {r["version"] for r in rows}
+        return version, owner
+
+    first, owner = held(3000, 6)
+    assert (first, owner) == held(3000, 6) == (1, owner)
+    grown, more = held(3000, 7)
+    moved = [more[i] for i in owner if more[i] != owner[i]]
+    assert grown == 2 and 6 in moved and len(moved) <= 256 / 7 + 7
+    assert slots.loaded(spark, store, 2).shards == slots.loaded(spark, store, grown).shards
+    later, _ = held(4000, 7)
+    assert later in (2, 3) and slots.listed_names(spark, store) == [f"v{i:06d}" for i in range(1, later + 1)]
+
+
+def test_empty_tables(spark, docs, tmp_path):
     none = docs.limit(0)
     assert minmax.near_duplicates(none).count() == 0
     assert perplexity.judged(none).count() == 0
     assert langid.identify(none).count() == 0
     assert bpe.encode(none, VOCABULARY).count() == 0
     assert licences.scan(none).count() == 0
-    assert slots.sharded(none).count() == 0
+    assert slots.sharded(none, str(tmp_path / "none")).count() == 0
     assert mainhtml.extract(spark.createDataFrame([], "page_id int, url string, html string")).count() == 0
 
 
