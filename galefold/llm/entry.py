@@ -60,10 +60,15 @@ def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Labels: a page whose number the labels table calls bad (low quality or toxic) is one to block."""
+    """Labels: those of the documents whose text is a page's main text (the numbers of both tables have nothing to do with each other)."""
     pages = table(spark, folder, "pages")
-    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
-    return urlrules.judged(pages, pages.join(labels, "page_id").select("url", "blocked"))
+    return urlrules.judged(pages, urlrules.labelled_by_text(pages, table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+def listed_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """What SQL can say of op9: host, path and listed rule."""
+    pages = table(spark, folder, "pages")
+    return urlrules.judged(pages, spark.createDataFrame([], "url string, blocked boolean")).select("page_id", "host", "path", "rule")
 
 
 def op10_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,9 +79,9 @@ def op10_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_decontamination, op2_resampling, op3_minmax_dedup, op4_byte_bpe, op5_quality_rules, op6_main_text, op7_language, op8_licences, op9_url_rules, op10_virtual_slots)
+    every = (op1_decontamination, op2_resampling, op3_minmax_dedup, op4_byte_bpe, op5_quality_rules, op6_main_text, op7_language, op8_licences, op9_url_rules, op10_virtual_slots, listed_url_rules)
     return {q.__name__: q for q in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontam.oracle_sql(), "op8_licences": licences.oracle_sql(), "op3_minmax_dedup": minmax.oracle_sql()}
+    return {"op1_decontamination": decontam.oracle_sql(), "op8_licences": licences.oracle_sql(), "op3_minmax_dedup": minmax.oracle_sql(), "listed_url_rules": urlrules.listed_sql()}

@@ -235,13 +235,14 @@ def main_text(html: str | None) -> str:
     return " ".join("".join(" " if t is None else t for i, t in texts if kept[i] or loose and block[i] == block[around]).split())
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per row: page_id, url, text (empty if there is none), n_chars."""
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", keep_html: bool = False) -> DataFrame:
+    """Per row: page_id, url, text (empty if there is none), n_chars; with ``keep_html`` also html, as it came."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [main_text(x) for x in texts_of(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+            html = {"html": batch.column(2)} if keep_html else {}
+            yield pa.RecordBatch.from_pydict({"page_id": batch.column(0), "url": batch.column(1), "text": pa.array(found, pa.string()), "n_chars": pa.array([len(x) for x in found], pa.int64()), **html})
 
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInArrow(run, f"page_id {type_of(rows, 'page_id')}, url {type_of(rows, 'url')}, text string, n_chars bigint")
+    return rows.mapInArrow(run, f"page_id {type_of(rows, 'page_id')}, url {type_of(rows, 'url')}, text string, n_chars bigint" + (", html string" if keep_html else ""))

@@ -1,6 +1,7 @@
 """The corpus operators against brute force, the reference libraries' results and edge cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -201,14 +202,14 @@ def test_language_accuracy_and_edges(spark, docs):
 
 def against_duckdb(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     frame = entry.queries()[name](spark, SMALL)
     names = sorted(frame.columns)
-    return sorted(tuple(r[c] for c in names) for r in frame.collect()), sorted(con.sql(f"SELECT {', '.join(names)} FROM ({entry.oracle_sql()[name]})").fetchall())
+    return sorted((tuple(r[c] for c in names) for r in frame.collect()), key=repr), sorted(con.sql(f"SELECT {', '.join(names)} FROM ({entry.oracle_sql()[name]})").fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("name", ["op1_decontamination", "op8_licences"])
+@pytest.mark.parametrize("name", ["op1_decontamination", "op8_licences", "listed_url_rules"])
 def test_native_operators_match_sql(spark, name):
     got, want = against_duckdb(spark, name)
     assert got == want and got
@@ -293,8 +294,62 @@ def test_url_rules(spark):
         1: ("a.example.com", "/en/1", "example.com/en/", "block"), 2: ("www.example.com", "/en/1", "www.example.com/en/", "allow"), 3: ("x.net", "/es/", "net/es/", "block"), 4: ("x.net", "/de/", None, "allow"),
         5: ("", "", None, "allow"), 6: ("", "", None, "allow"), 7: ("q.com", "", None, "allow"), 8: ("spam.org", "/buy/7", None, "block"), 9: ("good.org", "/buy/7", None, "allow"),
     }
-    rules = urlrules.mined(labelled, 0.01, 0.6, 1.5, 4).collect()
-    assert [r["antecedent"] for r in rules] == [["host:spam"]]
+    rules = urlrules.mined(labelled, 0.01, 0.6, 1.5).collect()
+    assert [r["antecedent"] for r in rules] == [[["host:spam"]]]
+    assert {r["verdict"] for r in urlrules.judged(pages, labelled.limit(0)).where("rule IS NULL").collect()} == {"allow"}
+    assert urlrules.judged(pages.limit(0), labelled).count() == 0
+    twice = urlrules.judged(pages.union(pages), labelled).collect()
+    assert sorted(map(repr, twice)) == sorted(map(repr, urlrules.judged(pages, labelled).collect() * 2))
+
+
+def brute_rules(labelled, floor, confidence, lift, z):
+    """Every combination of tokens with rows enough, by enumeration; (rows it blocks) of those sure enough."""
+    rows = [(frozenset(t), b) for t, b in labelled]
+    share = sum(b for _, b in rows) / len(rows)
+    out = {}
+    for own in {frozenset(c) for t, b in rows if b for k in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), k)}:
+        n, hit = sum(own <= t for t, _ in rows), sum(own <= t for t, b in rows if b)
+        p = hit / n
+        low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if hit >= floor and p / share >= lift and low >= confidence:
+            out[own] = p
+    return out
+
+
+def test_url_rules_equal_brute_force(spark):
+    """The urls that mined rules block are those of all sure combinations; each rule has the rows asked for, and holds on other labels."""
+    r = random.Random(3)
+
+    def make(n):
+        rows = []
+        for _ in range(n):
+            site, kind, tail = r.choice(["news", "shop", "win", "blog"]), r.choice(["a", "b", "c"]), r.choice(["", "?utm=1", "?q=2&utm=3"])
+            bad = r.random() < (0.97 if site == "win" or site == "shop" and kind == "c" and tail else 0.1)
+            rows.append((f"https://{site}.example.{'org' if site == 'news' else 'net'}/{kind}/{r.randrange(99)}{tail}", bad))
+        return rows
+
+    known, later = make(600), make(400)
+    frame, held_out = (spark.createDataFrame(x, "url string, blocked boolean") for x in (known, later))
+    token_rows = frame.select(urlrules.tokens(F.col("url")).alias("t"), "blocked").collect()
+    want = brute_rules([(x["t"], x["blocked"]) for x in token_rows], 20, 0.6, 1.5, 1.645)
+    rules = urlrules.mined(frame)
+    got = rules.collect()
+    assert got and want and all(x["n_blocked"] >= 20 and x["confidence"] == pytest.approx(x["n_blocked"] / x["n_rows"]) for x in got)
+    for x in got:
+        for own in itertools.product(*x["antecedent"]):
+            assert want[frozenset(own)] == pytest.approx(x["confidence"])
+    urls = held_out.select("url").distinct()
+    hit = {x["url"] for x in urlrules.matched(urls, rules).collect()}
+    assert hit == {x["url"] for x in urls.withColumn("t", urlrules.tokens(F.col("url"))).collect() if any(own <= set(x["t"]) for own in want)}
+    n, right = urlrules.precision(rules, held_out)
+    assert n >= 50 and right >= 0.9 * n
+
+
+def test_url_labels_come_by_text(spark):
+    pages = spark.createDataFrame([(7, "http://a.org/1", "<html><title>T u</title><body><article><h1>T u</h1><p>bad  text, here</article>"), (8, "http://b.org/", "<p>fine text"), (9, "http://c.org/", "<p>other"), (1, None, None)], "page_id int, url string, html string")
+    docs = spark.createDataFrame([(1, "bad text,\n here"), (2, "fine text"), (3, "fine  text"), (4, None), (9, "other")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 1, 0), (4, 0, 1), (7, 1, 0), (None, 0, 0)], "doc_id bigint, quality int, toxic int")
+    assert sorted(tuple(r) for r in urlrules.labelled_by_text(pages, docs, labels).collect()) == [("http://a.org/1", True), ("http://b.org/", False)]
 
 
 def test_virtual_slots(spark, docs, tmp_path):

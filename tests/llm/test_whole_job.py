@@ -15,11 +15,11 @@ def test_fences_follow_the_spread_of_each_language(spark):
 
 
 def test_url_rules_need_rows_enough(spark):
-    """One or two blocked urls among many imply nothing, nor do 6 of 9; 12 of 12 do."""
+    """One or two blocked urls among many imply nothing, nor do 6 of 9 or 19 of 19; 24 of 24 do."""
     known = [("http://once.org/a", True), ("http://twice.org/b", True), ("http://twice.org/c", True)]
-    known += [(f"http://mostly.org/{x}", i < 6) for i, x in enumerate("defghijkl")] + [("http://always.org/", True)] * 12 + [("http://fine.org/", False)] * 60
-    rules = urlrules.mined(spark.createDataFrame(known, "url string, blocked boolean"), 0.002, 0.6, 1.5, 4).collect()
-    assert [r["antecedent"] for r in rules] == [["host:always"]]
+    known += [(f"http://mostly.org/{x}", i < 6) for i, x in enumerate("defghijkl")] + [("http://always.org/", True)] * 24 + [("http://nearly.org/", True)] * 19 + [("http://fine.org/", False)] * 60
+    rules = urlrules.mined(spark.createDataFrame(known, "url string, blocked boolean"), 0.002, 0.6, 1.5).collect()
+    assert [r["antecedent"] for r in rules] == [[["host:always"]]]
 
 
 def test_main_text_keeps_short_parts_without_an_article():
