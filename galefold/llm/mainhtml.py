@@ -2,14 +2,18 @@
 
 A forgiving parser builds the element tree (void elements, implied ends of paragraphs, list items and
 cells, raw-text elements, unclosed and stray tags). Elements that hold menus, headers, footers, sidebars,
-notices, adverts, forms, scripts or reader comments, by tag, role or words of class and id, are left out
-with all they hold. Every block with text of its own passes points to its ancestors: one, one a comma and
-up to three for length; all to the parent, half to the next, a third of a half further on. Scores get a
-bonus by tag and names and are discounted by the share of text in links. The best container stands for
-the article. An article or main element around it comes in its place, with those siblings that score near it
-or are text paragraphs with few links. Without one, the widest element around it below the body that holds
-few links comes in its place, with headings, paragraphs, lists and sections beside it that hold few links,
-however short, and the loose text around them. Blocks are joined in page order.
+notices, adverts, forms, scripts or reader comments are left out with all they hold: by tag, by role, or by a
+class or id all of whose words name such a part (``cookie-notice`` and ``related-posts`` do, ``social-history``
+and ``hidden-gem`` don't). Attributes are read as pairs of name and value.
+
+Every block with text of its own passes points to its ancestors: one, one a comma and up to three for length;
+all to the parent, half to the next, a third of a half further on. Scores get a bonus by tag and names and are
+discounted by the share of text in links. The best container stands for the article; an article element
+around it comes in its place. Inside of it nothing more is dropped; of a body or main element that
+has the best score itself, children that are mostly links are. Then, from it up to the body, siblings at
+each level are kept as well: those that score near it and text paragraphs with few links; as long as no article
+(or main) element is passed, also headings, paragraphs, lists and sections that hold few links, however short, and
+the loose text around them. Blocks are joined in page order.
 
 Edge cases: a null or empty page, or one without text outside of what is left out, gives an empty text.
 Nesting of any depth is handled without recursion; texts are never cut. Rows are independent of each
@@ -30,11 +34,11 @@ from pyspark.sql import functions as F
 from galefold.llm.shared import texts_of, type_of
 
 MARKUP = re.compile(r"""<(?:!--(.*?)(?:--!?>|\Z)|[!?][^>]*+>|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>)""", re.S)
-NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+PAIR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?|"[^"]*"|'[^']*'""")
 WORDS = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
@@ -47,17 +51,23 @@ ENDS = {
 }
 ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS.items()}
 
-LEFT_OUT = frozenset("head nav footer aside form button select option datalist dialog menu search template svg math canvas object audio video map script style noscript iframe textarea title noembed noframes".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tooltip status".split())
+LEFT_OUT = frozenset("head nav footer aside form button select option datalist dialog menu search template svg canvas map script style iframe textarea title noembed noframes".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 #: Words of class and id that mark what isn't the article.
 FOREIGN = frozenset(
-    "ad ads adsense advert adverts advertisement advertisements advertising adbox adslot adsbygoogle banner banners sponsor sponsored promo promos promotion cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars widget widgets footer header masthead topbar toolbar comment comments commentlist disqus respond replies reply discussion share sharing social related recommended recommendations pagination pager skip copyright".split()
+    "ad ads adsense advert adverts advertisement advertisements advertising adbox adslot adsbygoogle banner banners sponsor sponsored promo promos promotion cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars footer header masthead topbar toolbar comment comments commentlist disqus respond replies reply discussion share sharing social related recommended recommendations pagination pager".split()
 )
 COMMENTS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+#: Words that may stand beside them in a name of the same meaning.
+PLAIN = frozenset(
+    "a above area articles aside bar below block blocks body bottom box btn button buttons col column container content desktop entry fixed footer form global google group header home icon icons id inner item items left link links list main message mobile module nav navigation outer page panel policy post posts primary right row rows secondary section site slot small sticky stories story sub tertiary text thread title toggle top unit user widget widgets wp wrap wrapper".split()
+)
 OWN = frozenset("article content entry main post story text body".split())
-WHOLE = frozenset("#page html body".split())
-#: Tags of written text: they stay beside the article, and a div that holds a heading or a paragraph does.
+#: Tags of written text: they stay beside the container, and a div that holds a heading or a paragraph does.
 WRITTEN = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p section blockquote pre ul ol dl table figure details address".split())
+#: Elements that hold more than the article, and those of their children that may be lists of links.
+WHOLE = frozenset("#page html body main".split())
+LISTS = frozenset("div section ul ol dl table".split())
 WRITING = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 BONUS = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "address": -3.0, "h1": -5.0, "h2": -5.0, "h3": -5.0, "h4": -5.0, "h5": -5.0, "h6": -5.0, "th": -5.0}
 
@@ -103,11 +113,11 @@ class Tree:
         if tag in VOID:
             return
         parent = self.open[-1]
-        words, hidden, role = self.read(attributes) if attributes.strip() else (frozenset(), False, "")
+        words, foreign, hidden, role = self.read(attributes) if attributes.strip() else (frozenset(), 0, False, "")
         inside = self.inside[parent] or tag in ("article", "main") or role == "main"
-        foreign = bool(words & FOREIGN) and (bool(words & COMMENTS) or not words & OWN)
         whole = tag in ("html", "body", "main")
-        out = self.out[parent] or hidden or tag in LEFT_OUT or role in ROLES or foreign and not whole or tag == "header" and not self.inside[parent]
+        marked = foreign > self.inside[parent] and not whole
+        out = self.out[parent] or hidden or tag in LEFT_OUT or role in ROLES or marked or tag == "header" and not self.inside[parent]
         self.open.append(len(self.tags))
         self.tags.append(tag)
         self.parents.append(parent)
@@ -116,22 +126,30 @@ class Tree:
         self.inside.append(inside)
 
     @staticmethod
-    def read(attributes: str) -> tuple[frozenset[str], bool, str]:
+    def read(attributes: str) -> tuple[frozenset[str], int, bool, str]:
+        """Words of class and id, how far a name marks what isn't the article (0 not, 1 as a header, which an article may have, 2 wholly), whether hidden, role."""
         words: set[str] = set()
-        hidden, role = False, ""
-        for name, *values in NAMES.findall(attributes):
+        foreign, own, comments, hidden, role = 0, False, False, False, ""
+        for name, *values in PAIR.findall(attributes):
             name, value = name.lower(), next(filter(None, values), "").lower()
             if name in ("class", "id"):
-                words.update(WORDS.findall(value))
+                for one in value.split():
+                    parts = frozenset(WORDS.findall(one))
+                    words |= parts
+                    bad = parts & FOREIGN
+                    own |= bool(parts & OWN) and not bad
+                    if bad and parts <= FOREIGN | PLAIN:
+                        foreign = max(foreign, 1 if bad == {"header"} else 2)
+                        comments |= bool(bad & COMMENTS)
             elif name == "role":
                 role = value.strip()
             elif name == "hidden":
                 hidden = True
             elif name == "aria-hidden":
                 hidden |= value == "true"
-            else:
+            elif name == "style":
                 hidden |= "display:none" in value.replace(" ", "")
-        return frozenset(words), hidden, role
+        return frozenset(words), foreign if comments or not own else 0, hidden, role
 
     def close(self, tags: frozenset[str], within: frozenset[str]) -> None:
         """End the innermost open element of ``tags`` and what it holds, unless one of ``within`` lies between."""
@@ -200,39 +218,37 @@ def main_text(html: str | None) -> str:
     if value[best] == float("-inf"):
         return ""
     least = max(10.0, 0.2 * value[best])
-    at, marked = best, False
+    # An article element around the best container comes in its place.
+    at = best
     while at >= 0:
-        if tags[at] in ("article", "main"):
-            best, marked = at, True
+        if tags[at] == "article":
+            best = at
         at = parents[at]
-    if marked:
-        least = max(10.0, 0.2 * value[best])
-    elif tags[best] not in WHOLE:
-        at = parents[best]
-        while tags[at] not in WHOLE:
-            if total_linked[at] <= 0.25 * total[at]:
-                best = at
-            at = parents[at]
-    around = parents[best]
-    chosen = {best}
-    if best:
-        writes = [tag in WRITING and not o and size > 0 for tag, o, size in zip(tags, out, total, strict=True)]
-        for i in range(n - 1, 0, -1):
-            writes[parents[i]] |= writes[i]
-        for i in range(1, n):
-            if parents[i] == around and i != best and not out[i] and total[i]:
-                few = total_linked[i] <= 0.25 * total[i]
-                if value[i] >= least and few or tags[i] == "p" and few and total[i] > 80:
+    children: dict[int, list[int]] = {}
+    writes = [tag in WRITING and not o and size > 0 for tag, o, size in zip(tags, out, total, strict=True)]
+    for i in range(n - 1, 0, -1):
+        writes[parents[i]] |= writes[i]
+        children.setdefault(parents[i], []).append(i)
+    chosen, loose = {best}, set()
+    at, marked = best, False
+    while at > 0 and tags[at] not in ("html", "body"):
+        marked |= tags[at] in ("article", "main")
+        around = parents[at]
+        for i in children[around]:
+            if i != at and not out[i] and total[i] and total_linked[i] <= 0.25 * total[i]:
+                if value[i] >= least or tags[i] == "p" and total[i] > 80:
                     chosen.add(i)
-                elif not marked and few and (tags[i] in WRITTEN or tags[i] == "div" and writes[i]):
+                elif not marked and (tags[i] in WRITTEN or tags[i] == "div" and (writes[i] or tree.inside[around])):
                     chosen.add(i)
-    loose = best > 0 and not marked and linked[block[around]] <= 0.25 * length[block[around]]
+        if not marked and linked[block[around]] <= 0.25 * length[block[around]]:
+            loose.add(block[around])
+        at = around
     kept = [False] * n
     for i in range(n):
         kept[i] = i in chosen or i > 0 and kept[parents[i]]
-        if kept[i] and i not in chosen and tags[i] in ("ul", "ol", "dl", "div", "table", "section") and total[i] and total_linked[i] > 0.6 * total[i]:
-            kept[i] = False  # lists of links inside the article
-    return " ".join("".join(" " if t is None else t for i, t in texts if kept[i] or loose and block[i] == block[around]).split())
+        if kept[i] and i > 0 and parents[i] == best and tags[best] in WHOLE and tags[i] in LISTS and total_linked[i] > 0.6 * total[i]:
+            kept[i] = False  # teasers and menus beside the text, where no smaller container stands for the article
+    return " ".join("".join(" " if t is None else t for i, t in texts if kept[i] or block[i] in loose).split())
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", keep_html: bool = False) -> DataFrame:

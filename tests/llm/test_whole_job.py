@@ -1,5 +1,7 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
+import pytest
+
 from galefold.llm import langid, mainhtml, perplexity, urlrules
 
 
@@ -42,3 +44,48 @@ def test_languages_never_learnt_are_rejected(spark):
     foreign = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
     stays = {r["doc_id"] for r in langid.accepted(docs.union(foreign)).select("doc_id").collect()}
     assert stays == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+
+
+LONG = "<p>" + "long, text " * 30 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<p title="the hidden gem">Kept words</p>', '<p data-hidden="false">Kept words</p>', '<p data-role="status">Kept words</p>', '<p>Kept <a href="/x?id=ad">words</a></p>',
+        '<ul><li><a href="/a">Kept</a></li><li><a href="/b">words</a></li></ul>', '<p class="social-history">Kept words</p>', "<p>Kept <math><mi>words</mi></math></p>",
+        "<video>Kept words</video>", "<noscript><p>Kept words</p></noscript>", "<object>Kept words</object>", '<div class="header"><h2>Kept words</h2></div>', "<table><tr><td><a href=/s>Kept words</a></table>",
+        '<p class="copyright-law">Kept words</p>', "<p id='skip-list'>Kept words</p>", '<p role="note">Kept words</p>', '<p onclick="x(1)" id=a>Kept words</p>',
+    ],
+)
+def test_main_text_drops_nothing_of_the_article(part):
+    """Names inside of attribute values, lists of links, fallbacks and hyphenated names aren't reasons to drop."""
+    for page in (f"<body><article>{LONG}{part}{LONG}</article>", f"<body><main><article>{LONG}{part}{LONG}</article></main>"):
+        assert mainhtml.main_text(page).split()[60:62] == ["Kept", "words"]
+
+
+@pytest.mark.parametrize(
+    "part",
+    ['<div class="cookie-notice">Gone</div>', '<ul class="main-nav"><li>Gone</ul>', '<p hidden>Gone</p>', '<p style="display: none">Gone</p>', '<div role="search">Gone</div>', '<div id="comments"><p>Gone</div>', '<div class="related-posts"><p>Gone</div>', "<form>Gone</form>", "<p aria-hidden=true>Gone"],
+)
+def test_main_text_leaves_out_other_parts(part):
+    for page in (f"<body><article>{LONG}{part}</article>", f"<body>{part}<div>{LONG}</div>", f"<body><main>{LONG}{part}</main>"):
+        assert "Gone" not in mainhtml.main_text(page) and len(mainhtml.main_text(page).split()) == 60
+
+
+def test_main_text_of_containers():
+    """An article in main comes without the teasers beside it; main without an article comes whole, but for lists of links."""
+    more = '<div class="more"><a href=/1>One teaser</a> <a href=/2>Another</a></div>'
+    assert len(mainhtml.main_text(f"<body><main><article>{LONG}</article>{more}</main>").split()) == 60
+    text = mainhtml.main_text(f"<body><main><h1>Title</h1><div>{LONG}</div><div>Loose end</div>{more}</main><p>Elsewhere</p>").split()
+    assert text[0] == "Title" and text[-2:] == ["Loose", "end"] and "Elsewhere" not in text and "teaser" not in text
+    teaser = "<article><a href=/t>Read more</a></article>"
+    assert mainhtml.main_text(f"<body>{teaser}<div>{LONG * 9}</div>{teaser}").split() == ["long,", "text"] * 270
+
+
+def test_main_text_edges(spark):
+    """Nulls, empty and very long pages, repeated rows, and columns named as results."""
+    rows = [(1, "u", LONG, "x", 1), (1, "u", LONG, "x", 1), (None, None, None, None, None), (2, "v", "", "y", 2), (3, "w", "<p>" + "word, " * 400_000, "z", 3)]
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string, text string, n_chars int")
+    got = sorted((r["page_id"] or 0, r["n_chars"]) for r in mainhtml.extract(frame).collect())
+    assert got == [(0, 0), (1, 329), (1, 329), (2, 0), (3, 6 * 400_000 - 1)]
