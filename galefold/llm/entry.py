@@ -47,6 +47,11 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.judged(table(spark, folder, "documents"))
 
 
+def counted_text_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """What SQL can say of op5: the counted rules."""
+    return perplexity.judged(table(spark, folder, "documents")).drop("log_ppl", "kept")
+
+
 def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return mainhtml.extract(table(spark, folder, "pages"))
 
@@ -79,9 +84,9 @@ def op10_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_decontamination, op2_resampling, op3_minmax_dedup, op4_byte_bpe, op5_quality_rules, op6_main_text, op7_language, op8_licences, op9_url_rules, op10_virtual_slots, listed_url_rules)
+    every = (op1_decontamination, op2_resampling, op3_minmax_dedup, op4_byte_bpe, op5_quality_rules, op6_main_text, op7_language, op8_licences, op9_url_rules, op10_virtual_slots, listed_url_rules, counted_text_rules)
     return {q.__name__: q for q in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontam.oracle_sql(), "op8_licences": licences.oracle_sql(), "op3_minmax_dedup": minmax.oracle_sql(), "listed_url_rules": urlrules.listed_sql()}
+    return {"op1_decontamination": decontam.oracle_sql(), "op8_licences": licences.oracle_sql(), "op3_minmax_dedup": minmax.oracle_sql(), "listed_url_rules": urlrules.listed_sql(), "counted_text_rules": perplexity.base_sql()}

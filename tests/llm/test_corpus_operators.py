@@ -128,19 +128,22 @@ def test_quality_features():
         assert perplexity.repeat_words(ws) == len(want)
 
 
-def brute_kneser_ney(texts):
-    """p(symbol | three before) by dictionaries, for one language."""
+def brute_kneser_ney(texts, others=None):
+    """Mean costs of ``others`` (or of the texts) by p(symbol | three before), by dictionaries, for one language."""
     fold = perplexity.folded()
     raw = Counter()
-    sequences = []
-    for t in texts:
+
+    def folded(t):
         codes = [0, 0, 0]
         for c in t:
             s = int(fold[ord(c)])
             if not (s == 1 and codes[-1] == 1 and len(codes) > 3):
                 codes.append(s)
-        sequences.append(codes)
+        return codes
+
+    for codes in map(folded, texts):
         raw.update(tuple(codes[i - 3 : i + 1]) for i in range(3, len(codes)))
+    sequences = [folded(t) for t in (texts if others is None else others)]
     counts = {4: raw}
     for k in (3, 2, 1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
@@ -209,7 +212,7 @@ def against_duckdb(spark, name):
     return sorted((tuple(r[c] for c in names) for r in frame.collect()), key=repr), sorted(con.sql(f"SELECT {', '.join(names)} FROM ({entry.oracle_sql()[name]})").fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("name", ["op1_decontamination", "op8_licences", "listed_url_rules"])
+@pytest.mark.parametrize("name", ["op1_decontamination", "op8_licences", "listed_url_rules", "counted_text_rules"])
 def test_native_operators_match_sql(spark, name):
     got, want = against_duckdb(spark, name)
     assert got == want and got

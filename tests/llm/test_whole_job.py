@@ -1,6 +1,12 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
+import math
+import random
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from test_corpus_operators import brute_kneser_ney
 
 from galefold.llm import langid, mainhtml, perplexity, urlrules
 
@@ -89,3 +95,56 @@ def test_main_text_edges(spark):
     frame = spark.createDataFrame(rows, "page_id int, url string, html string, text string, n_chars int")
     got = sorted((r["page_id"] or 0, r["n_chars"]) for r in mainhtml.extract(frame).collect())
     assert got == [(0, 0), (1, 329), (1, 329), (2, 0), (3, 6 * 400_000 - 1)]
+
+
+def sentences(n, seed, words):
+    r = random.Random(seed)
+    return [" ".join(r.choice(words) for _ in range(r.randrange(60, 90))) for _ in range(n)]
+
+
+def test_quality_verdicts_equal_brute_force(spark):
+    """Scores, fences and verdicts by dictionaries over the reference texts; tables, symbols and foreign noise are outside."""
+    good = sentences(40, 1, "the cat sat on a mat while old dogs ran over green hills and slept under trees near rivers with many fish".split())
+    junk = [" | ".join(t.split()) for t in sentences(8, 2, "green hills old dogs cat".split())] + [" ".join(w + "%%%" for w in t.split()) for t in sentences(8, 3, "cat dog mat".split())]
+    odd = sentences(3, 4, "xqzj zzkw qqpv jjxw wvkz kkqj".split())
+    # More than the language's usual, so that the odd texts are references too but no majority.
+    texts = good + junk + odd + ["short text", None]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in perplexity.judged(spark.createDataFrame(rows, "doc_id int, text string, lang string")).collect()}
+    chosen = [i for i, t, _ in rows if t and perplexity.reference(t)]
+    assert not any(i in chosen for i in range(40, 56)) and set(range(40)) <= set(chosen)
+    cost = dict(zip(range(len(texts) - 1), brute_kneser_ney([texts[i] for i in chosen], texts[:-1]), strict=True))
+    for i, c in cost.items():
+        assert got[i]["log_ppl"] == pytest.approx(c, rel=1e-5)
+    bins = sorted(math.floor(cost[i] / perplexity.BIN) for i in chosen)
+    low, high = (perplexity.BIN * (bins[math.ceil(q * len(bins)) - 1] + 0.5) for q in (0.25, 0.75))
+    reach = 3 * max(perplexity.BIN, high - low)
+    for i, c in cost.items():
+        assert got[i]["kept"] == (not perplexity.features(texts[i])[5] and low - reach <= c <= high + reach)
+    assert all(got[i]["kept"] for i in range(40)) and not any(got[i]["kept"] for i in range(40, len(texts)))
+
+
+def test_pruned_model_stays_a_distribution(spark):
+    """With room for few n-grams, those of a small language stay, and the probabilities after any context still add up to 1."""
+    big, small = sentences(30, 5, "alpha beta gamma delta epsilon zeta eta theta".split()), ["one two"]
+    frame = spark.createDataFrame([(i, t, "en") for i, t in enumerate(big)] + [(99, small[0], "de")], "doc_id int, text string, lang string")
+    whole, pruned = perplexity.trained(frame), perplexity.trained(frame, entries=40)
+    assert all(len(x.keys) <= 40 for x in (*pruned.grams.values(), *pruned.weights.values())) and len(whole.grams[4].keys) > 60
+    codes = {r["lang"]: r["c"] for r in frame.select("lang", perplexity.language(F.col("lang")).alias("c")).distinct().collect()}
+    fold = perplexity.folded()
+    for model in (whole, pruned):
+        for lang, text in (("en", "alp"), ("en", "zzz"), ("en", "ta "), ("de", "one")):
+            context = codes[lang] << 48
+            for c in text:
+                context = (context & ~((1 << 48) - 1)) | ((context & ((1 << 24) - 1)) << 12) | int(fold[ord(c)])
+            head = (context & ~((1 << 48) - 1)) | ((context & ((1 << 36) - 1)) << 12)
+            keys = np.uint64(head) | np.arange(1 << perplexity.SYMBOL, dtype=np.uint64)
+            assert np.exp(model.log_p(keys)).sum() == pytest.approx(1, abs=1e-3)
+    assert perplexity.mean_costs(pruned, small, np.array([codes["de"]])) == pytest.approx(perplexity.mean_costs(whole, small, np.array([codes["de"]])), rel=0.5)
+
+
+def test_thresholds_share_out_evenly():
+    tallies = [(1, 0, 50), (1, 1, 30), (1, 2, 20), (2, 0, 5), (3, 0, 10), (3, 5, 10)]
+    assert perplexity.thresholds(tallies, 1000) == {1: 1, 2: 1, 3: 1}
+    assert perplexity.thresholds(tallies, 60) == {2: 1, 3: 1, 1: 4}
+    assert perplexity.thresholds(tallies, 30) == {2: 1, 3: 32, 1: 1 << 62}
