@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_corpus_operators import brute_kneser_ney
 
-from galefold.llm import langid, mainhtml, perplexity, urlrules
+from galefold.llm import decontam, langid, mainhtml, perplexity, urlrules
 
 
 def test_fences_follow_the_spread_of_each_language(spark):
@@ -148,3 +148,28 @@ def test_thresholds_share_out_evenly():
     assert perplexity.thresholds(tallies, 1000) == {1: 1, 2: 1, 3: 1}
     assert perplexity.thresholds(tallies, 60) == {2: 1, 3: 1, 1: 4}
     assert perplexity.thresholds(tallies, 30) == {2: 1, 3: 32, 1: 1 << 62}
+
+
+def test_decontamination_of_items_full_of_slots(spark):
+    """Items of numbers and names are found word for word; short ones also after a colon or inside a sentence."""
+    items = [(1, "Compute 3/4 + 5/8 - 1/2"), (2, "What is the capital of France?"), (3, "12 18 24 30 36 42 48"), (4, "If Ann has 7 apples and Tom has 9 apples, how many apples do Ann and Tom have?")]
+    texts = [
+        (1, "so: compute 3/4 + 5/8 - 1/2 now"), (2, "Q: What is the capital of France? Paris."), (3, "they asked What is the capital of France"), (4, "the row 12 18 24 30 36 42 48 goes on"),
+        (5, "the row 13 18 24 30 36 42 49 goes on"), (6, "compute 1/4 + 3/8 - 1/3 now"), (7, "nothing at all of these"),
+        (8, "first. If Kim has 5 apples and Lee has 5 apples, how many apples do Kim and Lee have?"), (9, "first. If Kim has 5 apples and Kim has 6 apples, how many apples do Kim and Kim have?"),
+    ]
+    found = decontam.leaks(spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["kind"]) for r in found} == {(1, 1, "verbatim"), (2, 2, "verbatim"), (3, 2, "verbatim"), (4, 3, "verbatim"), (8, 4, "reparameterised")}
+
+
+def test_decontamination_judges_rows_on_their_own(spark):
+    """Two texts of one id, or of none, don't add up to a leak; a clean row of a leaking id stays."""
+    item = "one river runs down from cold hills past seven mills before winter snow closes all northern roads again"
+    words = item.split()
+    first, second = " ".join(words[:10]), " ".join(words[8:])
+    items = spark.createDataFrame([(1, item)], "item_id int, text string")
+    docs = spark.createDataFrame([(None, first), (None, second), (3, first), (3, second), (4, item), (4, "clean"), (None, item), (5, "x " * 200_000 + item), (4, item)], "doc_id int, text string")
+    for most in (1_000_000, 0):
+        assert {(r["doc_id"], r["covered_tokens"]) for r in decontam.leaks(docs, items, percent=80, broadcast_windows=most).collect()} == {(None, 18), (4, 18), (5, 18)}
+    left = decontam.decontaminated(docs, items, percent=80).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(0, first), (0, second), (3, first), (3, second), (4, "clean")])
