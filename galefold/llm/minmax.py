@@ -8,11 +8,15 @@ joins rows of different permutations, which keeps its rows independent even for
   cost one row from there on.
 * Documents that share a band are candidates. First, every document is held against the smallest
   document of any of its buckets. Then, where buckets with the same smallest document still hold
-  several components, all documents outside of the largest one are held against all the others.
-  They meet in units of about ``QUERIES`` by ``ROWS`` documents, streamed through bounded memory: a unit's
-  queries are held, its rows pass by, and only links leave. So no pairs are listed, no group of any
-  size comes into one task, and no link between components is left out.
-* Each candidate is confirmed on the full shingle sets (tuples of words, not hashes).
+  several components, the documents of different components are compared by a prefix filter: under one
+  order of all shingles (rare ones first, by a count in fixed slots; any order is right) two sets that are
+  alike have one of the first ``n - ceil(share * n) + 1`` shingles in common. So only documents that share
+  such a shingle within a group meet, and pages that merely share their boilerplate don't. Shingles with the
+  same documents are one. Large groups meet in units of about ``QUERIES`` by ``ROWS`` documents, streamed
+  through bounded memory: a unit's queries are held, its rows pass by, and only links between components
+  that it hasn't joined yet leave. So no pairs are listed, no group of any size comes into one task, and
+  no connection is left out. Rows of a unit carry the hashes of their shingles, not texts.
+* Each link is confirmed on the full shingle sets (tuples of words, not hashes).
 * Components come from contraction: each round every document adopts the smallest label near it.
 
 Edge cases: a null or wordless text has an empty set, 0 shingles and no links; fewer words than the
@@ -33,8 +37,10 @@ from pyspark.sql import functions as F
 
 from galefold.llm.shared import Scratch, texts_of, type_of
 
-#: Bits of the id filter that goes to the scan (at most 512 KB, whatever the input).
-FILTER_BITS = 1 << 22
+#: Most bits of the id filter that goes to the scan, as a power of two (32 MB); it has 16 to 32 bits an id below that.
+FILTER_POWER = 28
+#: Slots that count shingles for the order of the prefix filter, as a power of two.
+COUNT_POWER = 18
 #: Documents that a task of the second comparison holds, and that pass it, about.
 QUERIES, ROWS = 64, 256
 
@@ -141,19 +147,23 @@ def alike(a: set, b: set, percent: int) -> bool:
 
 
 def texts_named(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` (doc_id, text) that a filter of fixed size of the column ``id`` lets through; others may be among them."""
+    """The rows of ``texts`` (doc_id, text) that a filter of bounded size of the column ``id`` lets through; others may be among them."""
     spark = ids.sparkSession
-    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[slots] = True
-    there = spark.sparkContext.broadcast(np.packbits(bits))
+    power = min(FILTER_POWER, max(15, (16 * ids.count()).bit_length()))
+    slot = F.shiftrightunsigned(F.xxhash64("id"), 64 - power)
+    parts = ids.select(F.shiftright(slot, 15).cast("int").alias("part"), slot.bitwiseAND(F.lit(32767)).alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    packed = np.zeros((1 << power) // 8, np.uint8)
+    for r in parts.collect():  # 4 KB each, 32 MB at most
+        packed[4096 * r["part"] : 4096 * (r["part"] + 1)] = np.frombuffer(r["bits"], np.uint8)
+    there = spark.sparkContext.broadcast(packed)
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.unpackbits(there.value).astype(bool)
+        own = there.value
         for batch in batches:
-            yield batch.filter(pa.array(own[batch.column(2).to_numpy()])).select([0, 1])
+            at = batch.column(2).to_numpy()
+            yield batch.filter(pa.array((own[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select([0, 1])
 
-    slotted = texts.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int").alias("slot"))
+    slotted = texts.where("doc_id IS NOT NULL").select("doc_id", "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - power).alias("slot"))
     return slotted.mapInArrow(wanted, f"doc_id {type_of(texts, 'doc_id')}, text string")
 
 
@@ -177,43 +187,111 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
     return both.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
+def hashed_sets(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(rep, shingles): the shingle hashes of the documents named by the column ``rep``; others may be among them."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(word_hashes(lowered(x or "")), words).view(np.int64) for x in texts_of(batch.column(1))]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            values = np.concatenate(found) if found else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["rep", "shingles"])
+
+    some = texts_named(reps.select(F.col("rep").alias("id")), texts)
+    made = some.mapInArrow(make, f"rep {type_of(texts, 'doc_id')}, shingles array<bigint>")
+    # Repeated rows give one set; texts that share an id keep one each.
+    return made.withColumn("hash", F.xxhash64("shingles")).dropDuplicates(["rep", "hash"]).select("rep", "shingles")
+
+
+def lists(column: pa.Array) -> list[np.ndarray]:
+    """The items of a list column."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, token): the shingles of which two sets that are alike have one in common."""
+    shift = np.uint64(64 - COUNT_POWER)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_POWER, np.int64)
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy().view(np.uint64)
+            total += np.bincount((values >> shift).astype(np.int64), minlength=1 << COUNT_POWER)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["slot", "n"])
+
+    counted = sets.select("shingles").mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << COUNT_POWER, np.int64)
+    often[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(often)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = []
+            for own in lists(batch.column(1)):
+                keys = own.view(np.uint64)
+                order = np.lexsort((keys, shared.value[(keys >> shift).astype(np.int64)]))
+                chosen.append(own[order[: len(own) + percent * len(own) // -100 + 1]])
+            ends = np.cumsum([0, *map(len, chosen)]).astype(np.int32)
+            values = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["rep", "tokens"])
+
+    return sets.mapInArrow(cut, f"rep {type_of(sets, 'rep')}, tokens array<bigint>").select("rep", F.explode("tokens").alias("token"))
+
+
 def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between documents of one group and different components; ``members``: (group, rep, comp).
+    """Links (a, b) that join the components of each group; ``members``: (group, rep, comp).
 
-    In each group, the documents outside of its largest component are the queries.
+    Where documents share a token of their prefixes, those outside of the largest component are the queries.
     """
     kind = type_of(texts, "doc_id")
-    parts = members.groupBy("group", "comp").agg(F.count("*").alias("n"))
-    sizes = parts.groupBy("group").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest")).where("most < n")
-    shares = sizes.select("group", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
-    dealt = members.join(scratch.keep(shares), "group")
+    several = members.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("group")
+    contested = scratch.keep(members.join(scratch.keep(several), "group"))
+    sets = scratch.keep(hashed_sets(contested.select("rep").distinct(), texts, words))
+    keyed = scratch.keep(contested.join(prefixes(sets, percent), "rep").select("group", "token", "rep", "comp"))
+    met = keyed.groupBy("group", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in (1, 2)])
+    tokens = scratch.keep(met.where("low < high").groupBy("group", "n", "x1", "x2").agg(F.min("token").alias("token")).select("group", "token"))
+    dealt = scratch.keep(keyed.join(tokens, ["group", "token"]).select(F.xxhash64("group", "token").alias("meeting"), "rep", "comp"))
+
+    parts = dealt.groupBy("meeting", "comp").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("meeting").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest"))
+    shares = sizes.select("meeting", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
+    dealt = dealt.join(scratch.keep(shares), "meeting")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("salt", F.pmod(F.xxhash64("comp", "rep"), F.col("salts")).cast("int"))
-    queries = dealt.where("comp <> largest").select("group", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), "rep", "comp")
-    passing = dealt.select("group", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), "rep", "comp")
-    some = texts_named(dealt.select(F.col("rep").alias("id")), texts)
-    met = queries.union(passing).join(some, F.col("rep") == F.col("doc_id")).select("group", "block", "salt", "role", "rep", "comp", "text")
-    units = met.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "group", "block", "salt").sortWithinPartitions("group", "block", "salt", "role")
+    queries = dealt.where("comp <> largest").select("meeting", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), "rep", "comp")
+    passing = dealt.select("meeting", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), "rep", "comp")
+    held = queries.union(passing).join(sets, "rep").select("meeting", "block", "salt", "role", "rep", "comp", "shingles")
+    units = held.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "meeting", "block", "salt").sortWithinPartitions("meeting", "block", "salt", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, held = None, []
+        unit, waiting, joined = None, [], {}
+
+        def root(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                joined[x] = x = joined.get(up, up)
+            return x
+
         for batch in batches:
             a, b = [], []
             columns = [batch.column(i).to_pylist() for i in range(6)]
-            for *key, role, rep, comp, text in zip(*columns, texts_of(batch.column(6)), strict=True):
+            for *key, role, rep, comp, own in zip(*columns, lists(batch.column(6)), strict=True):
                 if key != unit:
-                    unit, held = key, []
-                own = word_tuples(text, words)
+                    unit, waiting, joined = key, [], {}
+                mine = set(own.tolist())
                 if role == 0:
-                    held.append((rep, comp, own))
+                    waiting.append((rep, comp, mine))
                     continue
-                for other, its_comp, its in held:
-                    if comp != its_comp and alike(own, its, percent):
+                for other, its_comp, its in waiting:
+                    if root(comp) != root(its_comp) and alike(mine, its, percent):
+                        joined[root(comp)] = root(its_comp)
                         a.append(min(rep, other))
                         b.append(max(rep, other))
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.types[4]), pa.array(b, batch.schema.types[4])], names=["a", "b"])
 
-    return units.mapInArrow(compare, f"a {kind}, b {kind}")
+    found = scratch.keep(units.mapInArrow(compare, f"a {kind}, b {kind}").distinct())
+    return linked_pairs(found, texts, words, percent)
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -253,8 +331,8 @@ def near_duplicates(
     Links hold between sets with ``100 * shared >= percent * united``. With 64 permutations and 4 rows
     there are 32 bands: a pair at 0.75 shares one with probability 1 - 5e-6.
     """
-    scratch = Scratch(docs.sparkSession, "minmax")
-    signs = scratch.keep(signatures(docs, id_col, text_col, words, permutations, rows))
+    scratch, result = Scratch(docs.sparkSession, "minmax"), Scratch(docs.sparkSession, "minmax-found")
+    signs = result.keep(signatures(docs, id_col, text_col, words, permutations, rows))
     sets = signs.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = scratch.keep(sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -279,7 +357,8 @@ def near_duplicates(
     placed = classes.select("set_key", "rep", F.xxhash64("rep").alias("node")).join(labels, "node", "left").select("set_key", "rep", F.coalesce("comp", "node").alias("comp"))
     placed = scratch.keep(placed)
     roots = scratch.keep(placed.groupBy("comp").agg(F.min("rep").alias("root")))
-    of_set = placed.join(roots, "comp").select("set_key", "root")
+    of_set = result.keep(placed.join(roots, "comp").select("set_key", "root"))
+    scratch.drop()
     component = F.coalesce("root", "doc_id")
     return signs.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")
