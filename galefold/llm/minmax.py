@@ -11,8 +11,8 @@ joins rows of different permutations, which keeps its rows independent even for
   several components, the documents of different components are compared by a prefix filter: under one
   order of all shingles (rare ones first, by a count in fixed slots; any order is right) two sets that are
   alike have one of the first ``n - ceil(share * n) + 1`` shingles in common. So only documents that share
-  such a shingle within a group meet, and pages that merely share their boilerplate don't. Shingles with the
-  same documents are one. Large groups meet in units of about ``QUERIES`` by ``ROWS`` documents, streamed
+  such a shingle within a group meet, by size, and only those that can still reach the share from there on:
+  pages that merely share their boilerplate don't. Shingles with the same documents are one. Large groups meet in units of about ``QUERIES`` by ``ROWS`` documents, streamed
   through bounded memory: a unit's queries are held, its rows pass by, and only links between components
   that it hasn't joined yet leave. So no pairs are listed, no group of any size comes into one task, and
   no connection is left out. Rows of a unit carry the hashes of their shingles, not texts.
@@ -27,6 +27,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -210,7 +211,11 @@ def lists(column: pa.Array) -> list[np.ndarray]:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, token): the shingles of which two sets that are alike have one in common."""
+    """(rep, size, token, turn, after): the shingles of which two sets that are alike have one in common.
+
+    Shingles are in the order of ``turn`` (how often their slot was seen), then of their unsigned value;
+    ``after`` is how many of the set come from this one on.
+    """
     shift = np.uint64(64 - COUNT_POWER)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,44 +233,71 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen = []
-            for own in lists(batch.column(1)):
-                keys = own.view(np.uint64)
-                order = np.lexsort((keys, shared.value[(keys >> shift).astype(np.int64)]))
-                chosen.append(own[order[: len(own) + percent * len(own) // -100 + 1]])
-            ends = np.cumsum([0, *map(len, chosen)]).astype(np.int32)
-            values = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["rep", "tokens"])
-
-    return sets.mapInArrow(cut, f"rep {type_of(sets, 'rep')}, tokens array<bigint>").select("rep", F.explode("tokens").alias("token"))
+            row, size, token, turn, after = ([] for _ in range(5))
+            for i, own in enumerate(lists(batch.column(1))):
+                keys, n = own.view(np.uint64), len(own)
+                turns = shared.value[(keys >> shift).astype(np.int64)]
+                first = np.lexsort((keys, turns))[: n + percent * n // -100 + 1]
+                row.append(np.full(len(first), i))
+                size.append(np.full(len(first), n))
+                token.append(own[first])
+                turn.append(turns[first])
+                after.append(n - np.arange(len(first)))
+            if row:
+                columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in (size, token, turn, after)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(row))), *columns], names=["rep", "size", "token", "turn", "after"])
+
+    return sets.mapInArrow(cut, f"rep {type_of(sets, 'rep')}, size bigint, token bigint, turn bigint, after bigint")
+
+
+def meetings(contested: DataFrame, tokens: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(meeting, rep, comp, size, after, home): which documents of different components may be alike, by a shingle they share.
+
+    ``contested``: (group, rep, comp); ``tokens``: their ``prefixes``. Documents of a group meet at a shingle, by
+    size: two sets that are alike have sizes in the same cell (each as large again by the inverse of the share) or
+    neighbouring ones, so each goes to its own (``home``) and the next. At the first shingle that two sets share, they
+    have no more in common than either has from there on; who can't reach the share with the smallest
+    one there, stays out.
+    """
+    keyed = scratch.keep(contested.join(tokens, "rep"))
+    crossed = lambda rows, *by: rows.groupBy(*by).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("size").alias("least")).where("low < high")
+    met = keyed.groupBy("group", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("turn").alias("turn"), F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in (1, 2)])
+    # Shingles with the same documents are one: the first of them.
+    unsigned = F.col("token").bitwiseXOR(F.lit(-(1 << 63)))
+    firsts = scratch.keep(met.where("low < high").groupBy("group", "n", "x1", "x2").agg(F.min_by("token", F.struct("turn", unsigned)).alias("token")).select("group", "token"))
+    # A little wider than the share, so that rounding never puts two such sizes further apart.
+    cell = F.floor(F.log(F.col("size").cast("double")) / F.lit(max(math.log(100 / percent), 1e-6) * (1 + 1e-6)))
+    dealt = keyed.join(firsts, ["group", "token"]).withColumn("cell", cell).withColumn("place", F.explode(F.array("cell", F.col("cell") + 1)))
+    dealt = scratch.keep(dealt.select(F.xxhash64("group", "token", "place").alias("meeting"), "rep", "comp", "size", "after", (F.col("place") == F.col("cell")).alias("home")))
+    able = dealt.join(scratch.keep(crossed(dealt, "meeting")), "meeting").where(F.col("after") * (100 + percent) >= percent * (F.col("size") + F.col("least")))
+    able = scratch.keep(able.drop("low", "high", "least"))
+    return scratch.keep(able.join(scratch.keep(crossed(able, "meeting").select("meeting")), "meeting"))
 
 
 def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that join the components of each group; ``members``: (group, rep, comp).
 
-    Where documents share a token of their prefixes, those outside of the largest component are the queries.
+    Where documents meet, those outside of the largest component are the queries.
     """
     kind = type_of(texts, "doc_id")
     several = members.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("group")
     contested = scratch.keep(members.join(scratch.keep(several), "group"))
     sets = scratch.keep(hashed_sets(contested.select("rep").distinct(), texts, words))
-    keyed = scratch.keep(contested.join(prefixes(sets, percent), "rep").select("group", "token", "rep", "comp"))
-    met = keyed.groupBy("group", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in (1, 2)])
-    tokens = scratch.keep(met.where("low < high").groupBy("group", "n", "x1", "x2").agg(F.min("token").alias("token")).select("group", "token"))
-    dealt = scratch.keep(keyed.join(tokens, ["group", "token"]).select(F.xxhash64("group", "token").alias("meeting"), "rep", "comp"))
+    dealt = meetings(contested, prefixes(sets, percent), percent, scratch)
 
     parts = dealt.groupBy("meeting", "comp").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("meeting").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest"))
     shares = sizes.select("meeting", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
     dealt = dealt.join(scratch.keep(shares), "meeting")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("salt", F.pmod(F.xxhash64("comp", "rep"), F.col("salts")).cast("int"))
-    queries = dealt.where("comp <> largest").select("meeting", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), "rep", "comp")
-    passing = dealt.select("meeting", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), "rep", "comp")
-    held = queries.union(passing).join(sets, "rep").select("meeting", "block", "salt", "role", "rep", "comp", "shingles")
+    own = ["rep", "comp", "size", "after", "home"]
+    queries = dealt.where("comp <> largest").select("meeting", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), *own)
+    passing = dealt.select("meeting", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), *own)
+    held = queries.union(passing).join(sets, "rep").select("meeting", "block", "salt", "role", *own, "shingles")
     units = held.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "meeting", "block", "salt").sortWithinPartitions("meeting", "block", "salt", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, waiting, joined = None, [], {}
+        unit, waiting, figures, joined = None, [], None, {}
 
         def root(x: int) -> int:
             while (up := joined.get(x, x)) != x:
@@ -274,15 +306,25 @@ def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int
 
         for batch in batches:
             a, b = [], []
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for *key, role, rep, comp, own in zip(*columns, lists(batch.column(6)), strict=True):
+            columns = [batch.column(i).to_pylist() for i in range(9)]
+            for *key, role, rep, comp, size, after, home, own in zip(*columns, lists(batch.column(9)), strict=True):
                 if key != unit:
-                    unit, waiting, joined = key, [], {}
-                mine = set(own.tolist())
+                    unit, waiting, figures, joined = key, [], None, {}
                 if role == 0:
-                    waiting.append((rep, comp, mine))
+                    waiting.append((rep, comp, size, after, home, own))
                     continue
-                for other, its_comp, its in waiting:
+                if figures is None:
+                    figures = [np.array([w[i] for w in waiting], np.int64) for i in (2, 3, 4)] if waiting else None
+                    waiting = [(w[0], w[1], set(w[5].tolist())) for w in waiting]
+                    if figures is None:
+                        continue
+                sizes, afters, homes = figures
+                able = np.minimum(afters, after) * (100 + percent) >= percent * (sizes + size)
+                able &= (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)) & ((homes == 1) | home)
+                near = np.flatnonzero(able)
+                mine = set(own.tolist()) if len(near) else set()
+                for i in near.tolist():
+                    other, its_comp, its = waiting[i]
                     if root(comp) != root(its_comp) and alike(mine, its, percent):
                         joined[root(comp)] = root(its_comp)
                         a.append(min(rep, other))

@@ -6,9 +6,9 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_corpus_operators import brute_kneser_ney
+from test_corpus_operators import brute_components, brute_kneser_ney
 
-from galefold.llm import decontam, langid, mainhtml, perplexity, urlrules
+from galefold.llm import decontam, langid, licences, mainhtml, minmax, perplexity, urlrules
 
 
 def test_fences_follow_the_spread_of_each_language(spark):
@@ -173,3 +173,77 @@ def test_decontamination_judges_rows_on_their_own(spark):
         assert {(r["doc_id"], r["covered_tokens"]) for r in decontam.leaks(docs, items, percent=80, broadcast_windows=most).collect()} == {(None, 18), (4, 18), (5, 18)}
     left = decontam.decontaminated(docs, items, percent=80).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(0, first), (0, second), (3, first), (3, second), (4, "clean")])
+
+
+def test_near_duplicates_of_families_around_the_threshold(spark):
+    """Boilerplate families, chains and copies of many shares and lengths give the brute-force components."""
+    r = random.Random(8)
+    rows = []
+    for _ in range(12):
+        base = [f"b{r.randrange(10**6)}" for _ in range(r.choice([12, 60, 200]))]
+        for _ in range(12):
+            share = r.choice([0.5, 0.7, 0.8, 0.86, 0.9, 0.97, 1.0])
+            cut = int(len(base) * share)
+            at = r.randrange(len(base) - cut + 1)
+            rows.append(base[at : at + cut] + [f"u{r.randrange(10**6)}" for _ in range(r.randrange(1 + int(0.3 * len(base))))])
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    got = minmax.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == brute_components(rows)
+
+
+def test_boilerplate_family_stays_cheap(spark):
+    """Pages that share two thirds of their words meet nowhere, so none of them is compared."""
+    from galefold.llm.shared import Scratch
+
+    r = random.Random(2)
+    base = [f"b{i}" for i in range(80)]
+    rows = [(i, " ".join(base + [f"u{r.randrange(10**9)}" for _ in range(20)])) for i in range(400)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    contested = spark.range(400).select(F.lit(0).alias("group"), F.col("id").alias("rep"), F.xxhash64("id").alias("comp"))
+    scratch = Scratch(spark, "family")
+    sets = scratch.keep(minmax.hashed_sets(contested.select("rep"), texts, 5))
+    assert minmax.meetings(contested, minmax.prefixes(sets, 75), 75, scratch).count() == 0
+
+
+def brute_windows(text, percent=75):
+    """{template: (shared, window's bigrams, place)} of the best window at the places that anchors give."""
+    words = licences.re.findall("[a-z0-9]+", text.lower())
+    out = {}
+    for t in licences.prepared(licences.TEMPLATES):
+        best = None
+        places = {max(0, at - place) for place, pair in t.anchors(percent) for at in range(len(words) - 1) if f"{words[at]} {words[at + 1]}" == pair}
+        for start in sorted(places):
+            held = words[start : start + len(t.words)]
+            pairs = {f"{a} {b}" for a, b in zip(held, held[1:], strict=False)}
+            shared = len(pairs & set(t.pairs))
+            if 200 * shared >= percent * (len(pairs) + len(t.pairs)):
+                dice = 2.0 * shared / (len(pairs) + len(t.pairs))
+                if best is None or dice > best[0]:
+                    best = (dice, shared, len(pairs), start)
+        if best:
+            out[t.number] = best[1:]
+    return out
+
+
+def test_licences_wherever_they_stand(spark):
+    """Notices inside longer lines, wrapped, with CRLF or CR, or a few words changed are found; every window equals brute force."""
+    r = random.Random(6)
+    filler = lambda n: " ".join(r.choice("the of to software licence and in any use work for is it with from".split()) for _ in range(n))
+    rows, want = [], set()
+    for i, (name, text) in enumerate(licences.TEMPLATES):
+        words = text.split()
+        wrapped = "\n".join(" ".join(words[k : k + 7]) for k in range(0, len(words), 7))
+        changed = [w for k, w in enumerate(words) if k % 23 != 22]
+        forms = [f"{filler(40)} {text} {filler(40)}", f"{filler(9)}\n{wrapped}\n{filler(9)}", f"{filler(9)}\r\n" + wrapped.replace("\n", "\r\n") + f"\r\n{filler(3)}", wrapped.replace("\n", "\r"), f"{filler(20)} {' '.join(changed)} {filler(5)}"]
+        for k, form in enumerate(forms):
+            rows.append((10 * i + k, form))
+            want.add((10 * i + k, name))
+    rows += [(9000, filler(3000)), (9001, None), (9002, ""), (9003, "the"), (9004, filler(30_000) + " " + licences.TEMPLATES[5][1]), (9004, filler(9)), (None, licences.TEMPLATES[5][1])]
+    frame = spark.createDataFrame(rows, "doc_id int, text string").withColumns({"unit": F.lit(1), "licence": F.lit("x"), "template": F.lit(0)})
+    found = licences.scan(frame.unionByName(frame.limit(3))).collect()
+    assert want <= {(x["doc_id"], x["licence"]) for x in found}
+    assert (9004, "Apache-2.0") in {(x["doc_id"], x["licence"]) for x in found} and not {x["doc_id"] for x in found} & {9000, 9001, 9002, 9003}
+    windows = {(x["doc_id"], x["template"]): (x["shared"], x["unit_bigrams"], x["unit_no"]) for x in found if x["unit"] == "window"}
+    for i, text in rows:
+        if i is not None and i < 9000:
+            assert {t: v for (doc, t), v in windows.items() if doc == i} == brute_windows(text)
