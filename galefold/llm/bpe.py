@@ -158,9 +158,9 @@ def scanned(marks: np.ndarray, state: int = DONE, width: int = 128) -> tuple[np.
 class Vocabulary:
     """Ranks of byte strings, with the cache of merged pieces."""
 
-    def __init__(self, file: bytes, classes: np.ndarray, cached: int = 300_000):
+    def __init__(self, file: bytes, classes: np.ndarray, cached: int = 300_000, cached_bytes: int = 16 << 20):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines()) if a}
-        self.classes, self.most = classes, cached
+        self.classes, self.most, self.most_bytes = classes, cached, cached_bytes
         strings = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for s, i in self.ranks.items():
             strings[i] = s
@@ -176,6 +176,7 @@ class Vocabulary:
 
     def _forget(self) -> None:
         self.index: dict[bytes, int] = {}
+        self.held = 0  # bytes of the pieces in it
         self.flat, self.counts, self.firsts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -259,9 +260,11 @@ class Vocabulary:
         missing = np.flatnonzero(rows < 0)
         if len(missing):
             new = list(dict.fromkeys(pieces[i] for i in missing.tolist()))
-            if len(self.index) + len(new) > self.most and self.index:
+            size = sum(map(len, new))
+            if self.index and (len(self.index) + len(new) > self.most or self.held + size > self.most_bytes):
                 self._forget()
                 return self._ids(pieces)
+            self.held += size
             merged = self.merge(new)
             counts = np.array([len(x) for x in merged], np.int64)
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))

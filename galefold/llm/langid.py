@@ -10,7 +10,10 @@ bound is a parameter and concerns the fit alone. Texts are used whole and every
 
 Edge cases: a null text or one without a letter is ``und`` with score 0, and so is every text if nothing
 could be learnt. Languages that tie go to the first in alphabetical order. Rows with a null language
-or null id teach nothing. Extra columns are ignored.
+or null id teach nothing. Languages have equal priors: what a corpus holds most says nothing of a single
+text. A language column with more than ``MOST_LANGUAGES`` values is an error (ValueError), as the matrix couldn't
+hold 256 buckets for each. Repeated rows are predicted alike; an empty table gives an empty one. Extra
+columns are ignored.
 """
 
 from __future__ import annotations

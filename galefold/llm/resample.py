@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galefold.llm.minmax import mixed
@@ -48,6 +48,11 @@ def features(text: str | None, block: int = 1 << 20) -> Iterator[np.ndarray]:
         begin, last = end, both[-1:]
 
 
+def id_hash(column: Column) -> Column:
+    """Ids of any type as numbers."""
+    return F.xxhash64(column.cast("string"), F.lit(1))
+
+
 def log_ratios(docs: DataFrame, target_ids: list[int], id_col: str, text_col: str, smoothing: float = 1.0) -> np.ndarray:
     """For each bucket the log of its probability in the targets over that in all texts."""
     chosen = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(target_ids, np.int64)))
@@ -68,7 +73,7 @@ def log_ratios(docs: DataFrame, target_ids: list[int], id_col: str, text_col: st
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(raw[seen]), pa.array(target[seen])], names=["bucket", "raw", "target"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.when(F.col(id_col).isNotNull(), id_hash(F.col(id_col))).alias("id"), F.col(text_col).cast("string").alias("text"))
     table = rows.mapInArrow(count, "bucket int, raw bigint, target bigint").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
     counts = np.zeros((2, BUCKETS))
     counts[:, table["bucket"].to_numpy()] = table["target"].to_numpy(), table["raw"].to_numpy()
@@ -106,8 +111,8 @@ def resampled(
 ) -> DataFrame:
     """Per row: doc_id, log_weight, sample_key (order of the draw), kept (among the ``share`` of all rows drawn)."""
     spark = docs.sparkSession
-    ids = labels.where(good).select(F.col(id_col).cast("bigint").alias("id")).where("id IS NOT NULL").distinct()
-    ids = [r["id"] for r in ids.orderBy(F.xxhash64("id"), "id").limit(target_docs).collect()]
+    ids = labels.where(good).where(F.col(id_col).isNotNull()).select(id_hash(F.col(id_col)).alias("id")).distinct()
+    ids = [r["id"] for r in ids.orderBy("id").limit(target_docs).collect()]  # the least hashes: a draw by id
     shared = spark.sparkContext.broadcast(log_ratios(docs, ids, id_col, text_col))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

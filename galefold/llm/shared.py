@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Scratches made while a ``temporary`` block is open, by block.
+_OPEN: list[list[Scratch]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Removes at its end the tables of every ``Scratch`` made inside: for frames that are written out before that."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for scratch in _OPEN.pop():
+            scratch.drop()
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage: they survive the loss of any executor."""
 
@@ -30,6 +46,8 @@ class Scratch:
         self.spark, self.root, self.made = spark, f"{shared_dir(spark)}/galefold-{tag}-{uuid.uuid4().hex}", 0
         self.paths: dict[int, str] = {}
         self.frames: list[DataFrame] = []  # keeps the numbers of ``paths`` from being given again
+        if _OPEN:
+            _OPEN[-1].append(self)
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Write ``frame`` and return it as read from there."""

@@ -1,14 +1,21 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
+import hashlib
 import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 from test_corpus_operators import brute_components, brute_kneser_ney
 
-from galefold.llm import decontam, langid, licences, mainhtml, minmax, perplexity, urlrules
+from galefold.llm import bpe, decontam, entry, langid, licences, mainhtml, minmax, perplexity, resample, slots, urlrules
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def test_fences_follow_the_spread_of_each_language(spark):
@@ -247,3 +254,120 @@ def test_licences_wherever_they_stand(spark):
     for i, text in rows:
         if i is not None and i < 9000:
             assert {t: v for (doc, t), v in windows.items() if doc == i} == brute_windows(text)
+
+
+def brute_language(model_rows, texts, buckets=1 << 16, alpha=0.5):
+    """Language and posterior of each text by dictionaries: equal priors, n-grams of letters and blanks."""
+
+    def grams(text):
+        codes = [0]
+        for c in text:
+            code = ord(c.lower()[0]) if c.isalpha() else 0
+            if code or codes[-1]:
+                codes.append(code)
+        shift = 64 - (buckets.bit_length() - 1)
+        for n in langid.ORDERS:
+            for i in range(n - 1, len(codes)):
+                if n > 1 or codes[i]:
+                    key = sum(codes[i - k] << (21 * k) for k in range(n)) & (2**64 - 1)
+                    yield n, ((key + n) * 0x9E3779B97F4A7C15 % 2**64) >> shift
+
+    counts = {}
+    for text, lang in model_rows:
+        counts.setdefault(lang, Counter()).update(g for _, g in grams(text))
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        total = {x: sum(math.log((c[g] + alpha) / (c.total() + alpha * buckets)) for _, g in grams(text)) / len(langid.ORDERS) for x, c in counts.items()}
+        best = max(sorted(total), key=total.get)
+        out.append((best, 1 / sum(math.exp(v - total[best]) for v in total.values())))
+    return out
+
+
+def test_languages_equal_brute_force(spark):
+    known = {"en": "the quick brown fox jumps over lazy dogs while small cats sleep", "de": "der schnelle braune Fuchs springt über faule Hunde während kleine Katzen schlafen", "fr": "le vif renard brun saute par dessus des chiens paresseux où dorment les chats"}
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice(t.split()) for _ in range(r.randrange(1, 9))) + r.choice(["", "!", " 12 "]), lang) for i, (lang, t) in enumerate(list(known.items()) * 12)]
+    rows += [(100, None, "en"), (101, "123", "de"), (102, "", None), (103, "Fuchs fox renard", None), (None, "the", "fr"), (104, "é", "fr"), (104, "é", "fr")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string").withColumns({"lang_pred": F.lit("x"), "score": F.lit(1)})
+    got = langid.identify(frame).collect()
+    train = [(t, lang) for i, t, lang in rows if i is not None and lang is not None and t is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    want = {t: x for (_, t, _), x in zip(rows, brute_language(train, [t for _, t, _ in rows]), strict=True)}
+    text_of = {i: t for i, t, _ in rows}
+    assert len(got) == len(rows)
+    for x in got:
+        lang, score = want[text_of[x["doc_id"]]]
+        assert x["lang_pred"] == lang and x["score"] == pytest.approx(score, abs=2e-6)
+
+
+def test_resampling_draw_equals_brute_force(spark):
+    """Kept are the rows with the largest sums of log weight and Gumbel noise, for ids of any type."""
+    r = random.Random(9)
+    rows = [(f"d{i}", " ".join(r.choice("alpha beta gamma ### $$$".split()) for _ in range(30)) if i % 9 else None) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2, 0) for i in range(0, 90, 3)], "doc_id string, quality int, toxic int")
+    got = resample.resampled(docs, labels, share=0.4).collect()
+    noise = {x["doc_id"]: (x["n"] % 2**64 + 0.5) / 2.0**64 for x in docs.select("doc_id", F.xxhash64("doc_id", F.lit(7)).alias("n")).collect()}
+    counts, targets = Counter(), Counter()
+    for i, t in rows:
+        ids = [b for part in resample.features(t) for b in part.tolist()]
+        counts.update(ids)
+        if int(i[1:]) % 3 == 0 and int(i[1:]) % 2 == 1:
+            targets.update(ids)
+    ratio = lambda b: math.log((targets[b] + 1) / (targets.total() + resample.BUCKETS) / ((counts[b] + 1) / (counts.total() + resample.BUCKETS)))
+    drawn = {i: sum(ratio(b) for part in resample.features(t) for b in part.tolist()) - math.log(-math.log(noise[i])) for i, t in rows}
+    assert {x["doc_id"] for x in got if x["kept"]} == set(sorted(drawn, key=drawn.get, reverse=True)[:36])
+
+
+def test_bpe_query_equals_the_library(spark):
+    """Ids and decoded bytes of the whole table, and of unbroken and repeated pieces beyond the cache's bytes."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        vocabulary = bpe.Vocabulary(f.read(), bpe.class_table(), cached_bytes=500)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={})
+    texts = {x["doc_id"]: x["text"] or "" for x in entry.table(spark, SMALL, "documents").collect()}
+    for x in entry.op4_byte_bpe(spark, SMALL).collect():
+        ids = library.encode_ordinary(texts[x["doc_id"]])
+        assert (x["n_tokens"], x["ids_sha256"], x["decoded_sha256"]) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(texts[x["doc_id"]].encode()).hexdigest())
+    odd = ["QUJD" * 300, "QUJE" * 300, "ab cd " * 50, "QUJD" * 300]
+    ids, counts = vocabulary.encode(odd)
+    ends = np.cumsum(counts)
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, counts, strict=True)] == [library.encode_ordinary(t) for t in odd] and vocabulary.held <= 2500
+
+
+def test_shards_equal_brute_force(spark, tmp_path):
+    """Sizes, checksums, slots of the map and gapless places, with null and repeated ids, for slots in parts too."""
+    rows = [(i % 40 if i % 7 else None, "é" * (i % 13) if i % 11 else None) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"slot": F.lit("x"), "shard": F.lit(1), "noise": F.lit(0)})
+    for piece in (7, 10**6):
+        got = slots.sharded(frame, str(tmp_path / f"s{piece}"), shards=5, slots=64, piece=piece).collect()
+        assert Counter((x["doc_id"], x["size"], x["text_crc32"]) for x in got) == Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows)
+        owner = slots.loaded(spark, str(tmp_path / f"s{piece}"), 1).shards
+        assert all(owner[x["virtual_slot"]] == x["shard"] and x["version"] == 1 for x in got)
+        places = {}
+        for x in got:
+            places.setdefault(x["shard"], []).append(x["slot"])
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+        of_id = {}
+        assert all(of_id.setdefault(x["doc_id"], x["virtual_slot"]) == x["virtual_slot"] for x in got if x["doc_id"] is not None)
+        assert len({x["virtual_slot"] for x in got if x["doc_id"] is None}) > 20
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty texts, repeated rows, clashing columns and an empty table pass every stage."""
+    import corpus_pipeline
+
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    names = rows.columns
+    odd = rows.union(rows.limit(5)).union(spark.createDataFrame([(None,) * len(names), (9991, None, None, None, None), (9992, "", "en", "s", 0), (None, "words " * 80, None, None, 1)], rows.schema))
+    odd = odd.withColumns({"kept": F.lit("k"), "key": F.lit(1), "lang_pred": F.lit("x")})
+    for frame in (odd, odd.limit(0)):
+        given = frame
+        for name, stage in corpus_pipeline.STAGES:
+            given = stage(spark, given, SMALL).checkpoint()
+            if name != "tokens":
+                assert sorted(given.columns) == sorted(frame.columns)
+        ids = [x["doc_id"] for x in given.select("doc_id").collect() if x["doc_id"] is not None]
+        assert len(ids) == len(set(ids)) and bool(ids) == (frame is odd)
