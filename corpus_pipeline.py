@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from galefold.llm import bpe, decontam, entry, langid, minmax, perplexity
-from galefold.llm.shared import Scratch
+from galefold.llm.shared import Scratch, temporary
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +42,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each is written to the shared folder and read again by the next."""
+    """All stages on ``documents``; each is written to the shared folder and read again by the next.
+
+    A stage's own tables are removed once its result is written, and that result once the next one is.
+
+    Edge cases: rows with nulls in any column, empty texts, repeated rows and extra columns pass through the
+    stages; texts that are null or empty go with the first one. Rows without an id are judged by their own text
+    (near-duplicates by their texts' class can't name them, so they stay). An empty table gives an empty one.
+    """
     written = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
-        docs = written.keep(stage(spark, docs, sf_dir))
+        with temporary():
+            docs = written.keep(stage(spark, docs, sf_dir))
+        if before is not None:
+            written.drop(before)
+        before = docs
     return docs
