@@ -82,6 +82,25 @@ def content_id(*columns: str) -> Column:
     return F.sha2(F.concat_ws("\u0001", *[F.when(F.col(c).isNull(), F.lit("\u0002")).otherwise(F.col(c).cast("string")) for c in columns]), 256)
 
 
+def json_id(**fields: Column) -> Column:
+    """sha256 of the fields as JSON with sorted keys; null is null."""
+    return F.sha2(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"}), 256)
+
+
+def utc(text: Column) -> Column:
+    """An ISO time with Z, an offset or neither (UTC); null for other texts. The session's zone has to be UTC."""
+    return F.try_to_timestamp(text)
+
+
+def zoned(text: Column) -> Column:
+    """Likewise, but null without a zone."""
+    return F.when(text.rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})$"), utc(text))
+
+
+def has_reason(reasons: Column, name: str) -> Column:
+    return F.coalesce(F.contains(reasons, F.lit(name)), F.lit(False))
+
+
 def joined_reasons(*reasons: Column) -> Column:
     return F.nullif(F.concat_ws(";", *reasons), F.lit(""))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -36,6 +38,30 @@ def validated(frame: DataFrame, keys: list[str], time: str, bounds: dict[str, tu
     return m.crossJoin(repeated).select(F.inline(each))  # one row each
 
 
+def consistent(frame: DataFrame, a: Column, b: Column, most: float) -> DataFrame:
+    """n, consistent: rows, and those whose two columns differ by ``most`` at most."""
+    return frame.agg(F.count("*").alias("n"), F.count_if(F.abs(a - b) <= most).alias("consistent"))
+
+
+def readable(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if it isn't there or can't be read."""
+    try:
+        return spark.read.parquet(path)
+    except (PySparkException, Py4JJavaError):
+        return None
+
+
+def summary(found: DataFrame) -> DataFrame:
+    """total, passed, all_passed of a table of checks."""
+    return found.agg(F.count("*").alias("total"), F.count_if("passed").alias("passed"), F.bool_and("passed").alias("all_passed"))
+
+
+def geometry_verdict(frame: DataFrame, geometry: str = "geometry", most_null: float = 0.1) -> DataFrame:
+    """``geometry_check`` and whether it passes: some points, and few nulls."""
+    few = F.col("nulls") <= most_null * F.col("rows")
+    return geometry_check(frame, geometry).withColumn("passed", few & (F.col("points") > 0))
+
+
 def outside_boxes(frame: DataFrame, lon: str, lat: str, boxes: list[tuple[float, float, float, float]]) -> DataFrame:
     """located, outside: rows with coordinates, and those of them in none of the boxes (west, south, east, north)."""
     inside = F.lit(False)

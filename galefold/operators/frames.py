@@ -28,6 +28,17 @@ def compose(base: DataFrame | None, fetched: DataFrame, keys: Sequence[str], ord
     return upsert(base, fetched, keys, order)
 
 
+def composed(base: DataFrame | None, fetched: DataFrame, stations: DataFrame, keys: Sequence[str], metadata: Sequence[str], required: str, source: str = "iem", unused: Sequence[str] = ("wxcodes",)) -> DataFrame:
+    """The next version of a table: fetched rows of one source, without unused columns, over the base; then enriched.
+
+    Rows of another source are an error. As a first load keeps repeated keys, so does this.
+    """
+    checked = F.when(F.col("source") == source, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("rows of another source: "), F.coalesce("source", F.lit("none")))).cast("boolean"))
+    own = fetched.where(checked).drop("source", *unused)
+    merged = compose(base, own, keys)
+    return enriched(merged.withColumns({c: F.lit(None).cast(stations.schema[c].dataType) for c in metadata if c not in merged.columns}), stations, keys[0], keys[1], list(metadata), required)
+
+
 def last_known(frame: DataFrame, key: str, time: str, columns: Sequence[str], required: str) -> DataFrame:
     """For each key the columns of its latest row where ``required`` isn't null."""
     picked = frame.where(F.col(required).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(time, *columns)).alias("_m"))
@@ -55,8 +66,8 @@ def renamed_before(frame: DataFrame, aliases: DataFrame, key: str, time: str) ->
 
 def alias_overlaps(frame: DataFrame, aliases: DataFrame, key: str, time: str) -> DataFrame:
     """Instants that both ids of an alias have."""
-    old = frame.join(F.broadcast(aliases), frame[key] == F.col("old_id")).select("old_id", "new_id", time)
-    new = frame.join(F.broadcast(aliases), frame[key] == F.col("new_id")).select("old_id", "new_id", time)
+    old = frame.join(aliases, frame[key] == F.col("old_id")).select("old_id", "new_id", time)
+    new = frame.join(aliases, frame[key] == F.col("new_id")).select("old_id", "new_id", time)
     return old.join(new, ["old_id", "new_id", time]).distinct()
 
 
@@ -86,6 +97,18 @@ def digest(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.agg(F.count("*").alias("n"), F.bit_xor(h).alias("xored"), F.sum(h.cast("decimal(38,0)")).alias("summed"))
 
 
+def plain_digest(frame: DataFrame, text: Column) -> DataFrame:
+    """Likewise by md5 of a text of each row, so that other engines can compute it: n, summed (of 32-bit numbers), xored."""
+    h = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return frame.select(h.alias("h")).agg(F.count("*").alias("n"), F.sum("h").alias("summed"), F.bit_xor("h").alias("xored"))
+
+
+def pooled(frame: DataFrame, key: str, hour: Column, width: int) -> DataFrame:
+    """Distinct keys of the ``width`` hours up to each hour; a row counts in every window it lies in."""
+    ends = F.explode(F.array(*[hour + F.expr(f"interval {i} hours") for i in range(width)]))
+    return frame.select(ends.alias("hour"), key).groupBy("hour").agg(F.count_distinct(key).alias("n"))
+
+
 def hourly_counts(frame: DataFrame, key: str, label: Column, start: str, end: str) -> DataFrame:
     """Distinct keys at each hour of [start, end], 0 where there are none."""
     grid = frame.sparkSession.sql(f"SELECT explode(sequence(timestamp_ntz'{start}', timestamp_ntz'{end}', interval 1 hour)) AS hour")

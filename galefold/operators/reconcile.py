@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from galefold.functions.columns import fingerprint
-from galefold.operators.frames import last_known
+from galefold.functions.columns import blank_to_null, fingerprint
+from galefold.operators.frames import alias_overlaps, last_known
+from galefold.operators.sequences import canonical
 
 #: Counts of a report that have to be zero.
 FORBIDDEN = ["repeated_before", "repeated_after", "removed", "added_outside", "changed_outside", "metadata_unexpected"]
@@ -94,11 +98,95 @@ def regressed(earlier: DataFrame, later: DataFrame, key: str, mark: str) -> Data
     return both.where(F.col(mark).isNull() | (F.col(mark) < F.col("_was"))).select(key, F.col("_was").alias("was"), mark)
 
 
-def station_identity(msc_id: Column, provider: Column, tc_id: Column, stn_id: Column) -> Column:
-    """The network's own id, else provider and local id; null if neither is there."""
-    filled = lambda c: F.nullif(F.trim(c), F.lit(""))
-    local = F.coalesce(filled(tc_id), filled(stn_id))
-    return F.coalesce(filled(msc_id), F.when(filled(provider).isNotNull() & local.isNotNull(), F.concat_ws(":", filled(provider), local)))
+def partition_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], measures: Sequence[str], metadata: Sequence[str], inside: Column, expected: DataFrame, aliases: DataFrame, label: Column) -> DataFrame:
+    """(counter, item, n): every counter of the comparison of two versions; ``item`` is an hour, column, station or alias where a counter has one.
+
+    ``keys``: station and time. ``expected`` has the metadata that a station may change to; ``aliases``:
+    (old_id, new_id, boundary). Repeated keys are counted, and the first row of each is compared.
+    """
+    station, time = keys
+    side = lambda frame, tag: frame.groupBy(*keys).agg(F.count("*").alias(f"{tag}_n"), F.min(F.struct(*measures, *metadata)).alias(tag))
+    wanted = expected.groupBy(station).agg(F.min(F.struct(*metadata)).alias("wanted"))
+    both = side(before, "b").join(side(after, "a"), list(keys), "full_outer").join(wanted, station, "left")
+    there = F.col("a").isNotNull() & F.col("b").isNotNull()
+    differs = lambda c: there & ~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    any_of = lambda columns: reduce(or_, [differs(c) for c in columns], F.lit(False))
+    moved = F.lit(False) if not metadata else any_of(metadata)
+    restored = moved & F.col("wanted").isNotNull() & F.struct(*[F.col(f"a.{c}") for c in metadata]).eqNullSafe(F.struct(*[F.col(f"wanted.{c}") for c in metadata])) if metadata else F.lit(False)
+    flags = both.select(
+        *keys, F.coalesce("b_n", F.lit(0)).alias("b_n"), F.coalesce("a_n", F.lit(0)).alias("a_n"), inside.alias("inside"), any_of(measures).alias("changed"), *[differs(c).alias(f"_{c}") for c in measures],
+        moved.alias("moved"), restored.alias("restored"), label.alias("label"),
+    )
+    one = lambda name, n, item=None, when=None: F.struct(F.lit(name).alias("counter"), (F.lit(None).cast("string") if item is None else item).alias("item"), F.when(when if when is not None else F.lit(True), n).cast("bigint").alias("n"))
+    added, removed = (F.col("b_n") == 0), (F.col("a_n") == 0)
+    parts = [
+        one("rows_before", F.col("b_n")), one("rows_after", F.col("a_n")), one("removed_keys", removed.cast("int")), one("duplicate_keys_after", F.greatest(F.col("a_n") - 1, F.lit(0))),
+        one("added_in_windows", (added & F.col("inside")).cast("int")), one("added_outside_windows", (added & ~F.col("inside")).cast("int")),
+        one("measurement_changes_in_windows", (F.col("changed") & F.col("inside")).cast("int")), one("measurement_changes_outside_windows", (F.col("changed") & ~F.col("inside")).cast("int")),
+        one("added_by_hour", F.lit(1), F.date_format("label", "yyyy-MM-dd HH"), added & F.col("inside")),
+        *[one("measurement_changes_by_column", F.lit(1), F.lit(c), F.col(f"_{c}")) for c in measures],
+        one("metadata_changes_by_station", F.lit(1), F.col(station).cast("string"), F.col("moved")), one("metadata_restored_by_station", F.lit(1), F.col(station).cast("string"), F.col("restored")),
+    ]
+    counted = flags.select(F.inline(F.array(*parts))).where("n IS NOT NULL AND (item IS NULL OR n > 0)").groupBy("counter", "item").agg(F.sum("n").alias("n"))
+    early = after.join(aliases, after[station] == F.col("new_id")).where(F.col(time) < F.col("boundary")).groupBy(F.col("new_id").cast("string").alias("item")).agg(F.count("*").alias("n"))
+    overlap = alias_overlaps(after, aliases, station, time).groupBy(F.concat_ws("/", F.col("old_id").cast("string"), F.col("new_id").cast("string")).alias("item")).agg(F.count("*").alias("n"))
+    return counted.unionByName(early.withColumn("counter", F.lit("successor_rows_before_boundary"))).unionByName(overlap.withColumn("counter", F.lit("alias_overlaps")))
+
+
+#: Counters of a diff that have to be zero.
+DIFF_FORBIDDEN = ["removed_keys", "duplicate_keys_after", "added_outside_windows", "measurement_changes_outside_windows", "successor_rows_before_boundary", "alias_overlaps"]
+
+
+def diff_violations(diff: DataFrame) -> DataFrame:
+    """(violation, item, n): forbidden counters that aren't zero, and stations whose metadata changed to something unexpected."""
+    broken = diff.where(F.col("counter").isin(DIFF_FORBIDDEN) & (F.col("n") > 0)).select(F.col("counter").alias("violation"), "item", "n")
+    changes = diff.where(F.col("counter").isin("metadata_changes_by_station", "metadata_restored_by_station"))
+    net = changes.groupBy("item").agg(F.sum(F.when(F.col("counter") == "metadata_changes_by_station", F.col("n")).otherwise(-F.col("n"))).alias("n")).where("n > 0")
+    return broken.unionByName(net.select(F.lit("metadata_unexpected").alias("violation"), "item", "n"))
+
+
+def column_violations(before: StructType, after: StructType, except_types: Sequence[str] = ("geometry",)) -> list[str]:
+    """What two versions' columns have wrong: list or order, and types other than of ``except_types``."""
+    out = [] if before.names == after.names else [f"columns changed: {before.names} to {after.names}"]
+    kinds = {f.name: f.dataType for f in after}
+    return out + [f"type of {f.name} changed" for f in before if f.name in kinds and f.name not in except_types and kinds[f.name] != f.dataType]
+
+
+def pair_reconciled(rows: DataFrame, as_of: str, precedence: DataFrame) -> DataFrame:
+    """Candidates and choice of each key that two sources report: the rows known by ``as_of`` with ``place`` (order of the candidates) and ``chosen``.
+
+    A key whose candidates are all rejected or superseded has no chosen row.
+    """
+    key = ["station_id", "variable", "observed_at", "period_seconds", "statistic"]
+    known = rows.where(F.col("ingested_at") <= F.lit(as_of).cast("timestamp_ntz")).join(precedence, "source", "left")
+    placed = known.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy("rank", "source_record_id", "revision_id"))).drop("rank")
+    best = canonical(rows, as_of, precedence).select(*[F.col(c).alias(f"_{c}") for c in ("source", *key, "revision_id")])
+    same = F.col("revision_id") == F.col("_revision_id")
+    for c in ("source", *key):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return placed.join(best, same, "left").withColumn("chosen", F.col("_revision_id").isNotNull()).drop(*[f"_{c}" for c in ("source", *key, "revision_id")])
+
+
+def pair_chosen(rows: DataFrame, as_of: str, precedence: DataFrame) -> Row:
+    """The chosen row of candidates that must share one key; none known, several keys, or none left are errors."""
+    held = pair_reconciled(rows, as_of, precedence)
+    keys = held.select("station_id", "variable", "observed_at", "period_seconds", "statistic").distinct().limit(2).count()
+    if keys != 1:
+        raise ValueError("no candidate is known by then" if not keys else "the candidates have more than one key")
+    found = held.where("chosen").limit(1).collect()
+    if not found:
+        raise ValueError("all candidates are rejected or superseded")
+    return found[0]
+
+
+def station_identity(msc_id: Column, provider: Column, tc_id: Column, stn_id: Column, hint: Column | None = None) -> Column:
+    """``msc_id:<id>``, else ``<provider>:<field>:<value>`` of the first filled field; null if neither is there.
+
+    ``hint`` stands for a provider that isn't there at all; an empty one isn't replaced.
+    """
+    named = blank_to_null(provider if hint is None else F.coalesce(provider, hint))
+    local = F.coalesce(*[F.concat(F.lit(f"{field}:"), blank_to_null(c)) for field, c in (("tc_id", tc_id), ("stn_id", stn_id))])
+    return F.coalesce(F.concat(F.lit("msc_id:"), blank_to_null(msc_id)), F.concat(named, F.lit(":"), local))
 
 
 def available_at(observed: Column, published: Column, ingested: Column) -> Column:

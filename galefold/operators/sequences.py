@@ -67,11 +67,25 @@ def canonical(rows: DataFrame, as_of: str, precedence: DataFrame) -> DataFrame:
     replaced = F.col("revision_id") == F.col("_r")
     for c in ["source", *key]:
         replaced = replaced & (F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "period_seconds" else F.col(c) == F.col(f"_{c}"))
-    alive = able.join(fixes, replaced, "left_anti").join(F.broadcast(precedence), "source", "left")
+    # Null ranks would sort first, so a source without one is an error.
+    ranked = F.coalesce(F.col("rank"), F.raise_error(F.concat(F.lit("no rank for source "), F.col("source"))).cast("int"))
+    alive = able.join(precedence, "source", "left").withColumn("rank", ranked).join(fixes, replaced, "left_anti")
     order = [F.col("value_state") != "observed", F.col("quality") != "accepted", F.col("rank"), F.col("available_at").desc(), F.col("revision_id")]
     return first_of(alive, key, order)
 
 
+def sort_key() -> list[Column]:
+    """The order of canonical tables; no period sorts as -1."""
+    return [F.col("station_id"), F.col("variable"), F.col("observed_at"), F.coalesce("period_seconds", F.lit(-1.0)), F.col("statistic")]
+
+
+def within_payload(rows: DataFrame, payload: str, record: str, revision: str, position: str) -> DataFrame:
+    """Revisions of a record within one payload: repeats of a content are dropped, each other one supersedes the one before it."""
+    firsts = first_of(rows, [payload, record, revision], [F.col(position)])
+    w = Window.partitionBy(payload, record).orderBy(position)
+    return firsts.withColumn("supersedes_revision_id", F.lag(revision).over(w))
+
+
 def unranked(rows: DataFrame, precedence: DataFrame) -> DataFrame:
     """Sources without a rank; a selection over them is an error."""
     return rows.select("source").distinct().join(precedence, "source", "left_anti")
@@ -91,7 +105,7 @@ def evidence(rows: DataFrame, station: str, time: str, weather: Column, zero: Co
     return seen.withColumn("suspect", F.col("contradicted") & (F.col("contradictions") >= least) & (F.col("gauges") == 0)).drop("_t", "_w", "_z", "_g")
 
 
-def classified(rows: DataFrame) -> DataFrame:
+def classified(rows: DataFrame, least: int = 2) -> DataFrame:
     """Marks contradicted zero precipitation of a normalized table as suspect.
 
     Latest revisions decide; all revisions of a zero at a suspect station and instant are marked.
@@ -104,7 +118,7 @@ def classified(rows: DataFrame) -> DataFrame:
     judged = evidence(
         active, "station_id", "observed_at",
         F.coalesce((F.col("variable") == "present_weather") & precipitating(F.col("value_text")), F.lit(False)),
-        F.coalesce(zero, F.lit(False)), F.coalesce(amount & accepted & (F.col("value_float") > 0), F.lit(False)),
+        F.coalesce(zero, F.lit(False)), F.coalesce(amount & accepted & (F.col("value_float") > 0), F.lit(False)), least=least,
     )
     hours = judged.where("suspect").select("station_id", "observed_at").distinct().withColumn("_hit", F.lit(True))
     marked = rows.join(hours, ["station_id", "observed_at"], "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)) & amount & (F.col("value_float") == 0) & ~is_trace)

@@ -53,3 +53,9 @@ def split_by(spans: DataFrame, unit: str, start: str = "start", end: str = "end"
     pieces = F.expr(f"explode(sequence(cast(date_trunc('{unit}', {start}) as timestamp_ntz), {end} - interval 1 microsecond, interval 1 {unit}))")
     cut = spans.withColumn("_p", pieces)
     return cut.withColumn("_e", F.expr(f"_p + interval 1 {unit}")).withColumn(start, F.greatest(start, "_p")).withColumn(end, F.least(end, "_e")).drop("_p", "_e")
+
+
+def split_long(spans: DataFrame, unit: str, days: int, start: str = "start", end: str = "end") -> DataFrame:
+    """``split_by`` for windows of more than ``days`` days; others stay whole."""
+    whole = F.expr(f"timestampdiff(DAY, `{start}`, `{end}`) <= {days}")
+    return split_by(spans.where(~whole), unit, start, end).unionByName(spans.where(whole))

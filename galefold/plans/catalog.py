@@ -277,10 +277,10 @@ def alias_overlap(s, d):
     return frames.alias_overlaps(both, _aliases(s), "user_id", "ts").select("ts")
 
 
-@query("SELECT DISTINCT user_id FROM events WHERE event_type = 'click' INTERSECT SELECT user_id FROM events WHERE event_type = 'error' AND value > 400")
+@query("SELECT DISTINCT user_id FROM events WHERE event_type = 'click' INTERSECT SELECT user_id FROM events WHERE event_type = 'error' AND value > 100")
 def key_intersection(s, d):
     e = t(s, d, "events")
-    return e.where("event_type = 'click'").select("user_id").intersect(e.where("event_type = 'error' AND value > 400").select("user_id"))
+    return e.where("event_type = 'click'").select("user_id").intersect(e.where("event_type = 'error' AND value > 100").select("user_id"))
 
 
 @query("""SELECT source, text_id, first_doc FROM (SELECT source, md5(text) AS text_id, doc_id AS first_doc, row_number() OVER (PARTITION BY source, md5(text) ORDER BY doc_id) AS n FROM documents) WHERE n = 1""")
@@ -568,21 +568,24 @@ def window_merge(s, d):
     return spans.merged_rows(rows, ["o_custkey"])
 
 
-@query()
+@query("SELECT count(*) AS n, sum(h)::BIGINT AS summed, bit_xor(h) AS xored FROM (SELECT ('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|' || l_quantity::INT), 1, 8))::BIGINT AS h FROM lineitem)")
 def order_free_digest(s, d):
-    return frames.digest(t(s, d, "lineitem"), "l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    text = F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("int").cast("string"))
+    return frames.plain_digest(t(s, d, "lineitem"), text)
 
 
-@query()
+@query("""SELECT '7' AS station_id, TIMESTAMP '2026-08-10 05:00:00' AS observed_at, variable, value_float, unit, statistic, period_seconds, is_trace FROM (VALUES ('air_temperature', 21.5::DOUBLE, 'degC', 'instantaneous', NULL::DOUBLE, false),
+('wind_direction', 270.0, 'degree', 'instantaneous', NULL, false), ('precipitation', 0.0, 'mm', 'sum', 3600.0, true)) v(variable, value_float, unit, statistic, period_seconds, is_trace)""")
 def geojson_parse(s, d):
     payload = '{"type":"FeatureCollection","features":[{"id":"7.2026","geometry":{"type":"Point","coordinates":[-75.6,45.3]},"properties":{"CLIMATE_IDENTIFIER":"7","UTC_DATE":"2026-08-10T05:00:00","TEMP":21.5,"WIND_DIRECTION":27,"PRECIP_AMOUNT":0.0,"PRECIP_AMOUNT_FLAG":"T"}}]}'
-    return reports.climate_long(reports.climate_features(s.createDataFrame([(payload,)], "content string")))
+    found = reports.climate_long(reports.climate_features(s.createDataFrame([(payload,)], "content string")))
+    return found.withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
 
 
-@query()
+@query("""SELECT 'MSC' AS provider, 'MSC:tc_id:ADN' AS station, TIMESTAMP '2026-08-10 05:01:00' AS result_time, name, uom, value FROM (VALUES ('air_temp', 'degC', '20.1'), ('pcpn_amt', 'mm', NULL)) v(name, uom, value)""")
 def xml_parse(s, d):
-    payload = """<om:ObservationCollection xmlns:om="urn:om"><om:member><om:Observation><om:metadata><set><identification-elements><element name="dat_pvdr" value="MSC"/><element name="tc_id" value="ADN"/></identification-elements></set></om:metadata><om:resultTime><gml:TimeInstant><gml:timePosition>2026-08-10T05:01:00Z</gml:timePosition></gml:TimeInstant></om:resultTime><om:result><elements><element name="air_temp" uom="degC" value="20.1"/><element name="pcpn_amt" uom="mm" value="MSNG"/></elements></om:result></om:Observation></om:member></om:ObservationCollection>"""
-    return reports.observation_xml(s.createDataFrame([(payload,)], "content string"))
+    payload = """<om:ObservationCollection xmlns:om="urn:om"><om:member><om:Observation><om:metadata><set><identification-elements><element name="data_pvdr" value="MSC"/><element name="tc_id" value="ADN"/></identification-elements></set></om:metadata><om:resultTime><gml:TimeInstant><gml:timePosition>2026-08-10T05:01:00Z</gml:timePosition></gml:TimeInstant></om:resultTime><om:result><elements><element name="air_temp" uom="degC" value="20.1"/><element name="pcpn_amt" uom="mm" value="MSNG"/></elements></om:result></om:Observation></om:member></om:ObservationCollection>"""
+    return reports.observation_xml(s.createDataFrame([(payload,)], "content string")).withColumn("result_time", F.col("result_time").cast("timestamp_ntz"))
 
 
 # --- reconciliation ------------------------------------------------------------------------------
@@ -695,3 +698,7 @@ FROM e CROSS JOIN (VALUES ('click'), ('view'), ('purchase')) v(variable) LEFT JO
 def capability_daily_rows(s, d):
     e = t(s, d, "events").withColumn("day", C.day(F.col("ts")))
     return sequences.daily_rows(e, "user_id", "day", "ts", "event_type", F.col("value") > 100, ["click", "view", "purchase"]).withColumnRenamed("event_type", "variable")
+
+
+# Registers its queries here; it needs the names above.
+from galefold.plans import intake  # noqa: E402, F401

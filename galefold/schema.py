@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,12 @@ NORMALIZED = _struct(
     "unit string, value_state string, statistic string, observed_at timestamp, available_at timestamp, period_seconds double, quality string, quality_reason string, is_trace boolean, "
     "raw_uri string, raw_sha256 string, ingested_at timestamp, network string"
 )
+# Columns of the other record schemas.
+RAW_MANIFEST = _struct("source string, uri string, sha256 string, ingested_at timestamp, source_published_at timestamp, size_bytes bigint, media_type string, attribution_source string")
+STATION_MAPPING = _struct("source string, source_station_id string, canonical_station_id string, method string, valid_from timestamp, valid_to timestamp")
+ATTRIBUTION = _struct("source string, title string, url string, license_name string, license_url string")
+CAPABILITY = _struct("source string, source_station_id string, variable string, state string, valid_from timestamp, valid_to timestamp, expected_count bigint, observed_count bigint, accepted_count bigint, reason string")
+RECORD_SCHEMAS = {"normalized": NORMALIZED, "raw_manifest": RAW_MANIFEST, "station_mapping": STATION_MAPPING, "attribution": ATTRIBUTION, "capability": CAPABILITY}
 MANIFEST = _struct("source string, uri string, sha256 string, ingested_at timestamp, source_published_at timestamp, size bigint, media_type string, path string")
 
 
@@ -38,6 +44,36 @@ def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     return frame.select(*[(F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def conform_to(frame: DataFrame, base: DataFrame) -> DataFrame:
+    """``frame`` in the columns, order and types of ``base``; a column it lacks, or text that is to be a number or time, is an error.
+
+    Numbers and times aren't turned into text silently either.
+    """
+    kinds = dict(frame.dtypes)
+    if missing := [c for c in base.columns if c not in kinds]:
+        raise ValueError(f"columns are missing: {missing}")
+    for c, kind in base.dtypes:
+        if kind != kinds[c] and "string" in (kind, kinds[c]) and kinds[c] != "void":
+            raise ValueError(f"{c} is {kinds[c]}, not {kind}")
+    return frame.select(*[F.col(c).cast(kind).alias(c) for c, kind in base.dtypes])
+
+
+def write_records(frame: DataFrame, kind: str, path: str, mode: str = "errorifexists") -> None:
+    """Write a table of one of the record schemas, with its columns and types."""
+    missing, extra = compared(frame, RECORD_SCHEMAS[kind])
+    if missing or extra:
+        raise ValueError(f"{kind}: columns missing {sorted(missing)}, unknown {sorted(extra)}")
+    conform(frame, RECORD_SCHEMAS[kind]).write.mode(mode).option("compression", "zstd").parquet(path)
+
+
+def read_records(spark: SparkSession, kind: str, path: str) -> DataFrame:
+    """A table of one of the record schemas; columns that the files lack or that it doesn't know are an error."""
+    missing, extra = compared(spark.read.parquet(path), RECORD_SCHEMAS[kind])
+    if missing or extra:
+        raise ValueError(f"{path}: columns missing {sorted(missing)}, unknown {sorted(extra)}")
+    return spark.read.schema(RECORD_SCHEMAS[kind]).parquet(path)
+
+
 def compared(frame: DataFrame, schema: T.StructType) -> tuple[set[str], set[str]]:
     """Names that the frame lacks, and names that the schema doesn't know."""
     return set(schema.names) - set(frame.columns), set(frame.columns) - set(schema.names)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galefold.functions.columns import blank_to_null, content_id, number, present, trace
+from galefold.operators.reconcile import station_identity
 from galefold.schema import MEASURES
 
 # Fields of each source with variable, unit, statistic, period in seconds and multiplier.
@@ -20,6 +21,10 @@ CLIMATE_FIELDS = [
 ]
 
 
+# Flags of climate fields without a number.
+NO_DATA = ["NA", "ND"]
+
+
 def hourly_csv(frame: DataFrame) -> DataFrame:
     """Typed wide rows from all-text rows of an hourly CSV; reports without tmpf are dropped, traces are 0 with a flag."""
     numbers = {m: F.when(trace(F.col(m)), 0.0).otherwise(number(F.col(m))) if m in ("p01i", "p01m") else number(F.col(m)) for m in MEASURES}
@@ -31,12 +36,12 @@ def hourly_csv(frame: DataFrame) -> DataFrame:
 
 
 def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ["station", "valid", *MEASURES, "lon", "lat", "wxcodes"]])
-    header = spark.read.option("header", "true").csv(path).columns
-    missing = set(schema.names) - set(header)
-    if missing:
+    """Rows of CSV files in any order of columns; the header (one line, read first) must have all of them."""
+    columns = ["station", "valid", *MEASURES, "lon", "lat", "wxcodes"]
+    lines = spark.read.option("header", "true").csv(path)
+    if missing := set(columns) - set(lines.columns):
         raise ValueError(f"the header lacks {sorted(missing)}")
-    return hourly_csv(spark.read.option("header", "true").csv(path).select(*schema.names))
+    return hourly_csv(lines.select(*columns))
 
 
 def climate_features(payloads: DataFrame, text: str = "content") -> DataFrame:
@@ -46,31 +51,40 @@ def climate_features(payloads: DataFrame, text: str = "content") -> DataFrame:
     return each.select("f.id", F.col("f.geometry.coordinates")[0].alias("longitude"), F.col("f.geometry.coordinates")[1].alias("latitude"), F.col("f.properties").alias("properties"))
 
 
+def flagged(flag: Column) -> Column:
+    """Whether a climate flag says that the number isn't one: not available, or no data."""
+    return F.coalesce(F.upper(F.trim(flag)).isin(NO_DATA), F.lit(False))
+
+
 def climate_long(features: DataFrame) -> DataFrame:
     """Long rows of climate features; a flag T marks a trace and keeps its number."""
     p = F.col("properties")
     parts = [
-        F.struct(F.lit(v).alias("variable"), (number(p[f]) * k).alias("value_float"), F.lit(u).alias("unit"), F.lit(s).alias("statistic"), F.lit(sec).cast("double").alias("period_seconds"), F.coalesce(p[f"{f}_FLAG"] == "T", F.lit(False)).alias("is_trace"))
+        F.struct(F.lit(v).alias("variable"), (F.when(~flagged(p[f"{f}_FLAG"]), number(p[f])) * k).alias("value_float"), F.lit(u).alias("unit"), F.lit(s).alias("statistic"), F.lit(sec).cast("double").alias("period_seconds"), F.coalesce(p[f"{f}_FLAG"] == "T", F.lit(False)).alias("is_trace"))
         for f, v, u, s, sec, k in CLIMATE_FIELDS
     ]
     rows = features.select(p["CLIMATE_IDENTIFIER"].alias("station_id"), F.try_to_timestamp(p["UTC_DATE"]).alias("observed_at"), F.explode(F.array(*parts)).alias("m"))
     return rows.select("station_id", "observed_at", "m.*").where("value_float IS NOT NULL")
 
 
-def observation_xml(payloads: DataFrame, text: str = "content") -> DataFrame:
+ELEMENT = "array<struct<_name:string,_uom:string,_value:string>>"
+OBSERVATION = f"struct<metadata:struct<set:struct<`identification-elements`:struct<element:{ELEMENT}>>>,resultTime:struct<TimeInstant:struct<timePosition:string>>,result:struct<elements:struct<element:{ELEMENT}>>>"
+
+
+def observation_xml(payloads: DataFrame, text: str = "content", hint: Column | None = None) -> DataFrame:
     """Rows (provider, station, result_time, name, uom, value) of observation collections in XML.
 
-    Elements are taken by local name, so any prefix of their namespaces will do; a sentinel is a missing value.
+    Spark's XML parser reads the whole collection, whatever prefixes its namespaces have; a sentinel is a
+    missing value. ``hint`` is the provider of payloads that name none.
     """
-    member = F.regexp_extract_all(F.col(text).cast("string"), F.lit(r"(?s)<(?:\w+:)?member\b[^>]*>(.*?)</(?:\w+:)?member>"), F.lit(1))
-    clean = lambda c: F.regexp_replace(F.regexp_replace(c, r"(</?)\w+:", "$1"), r"\s(?:xmlns(?::\w+)?|\w+:\w+)=\"[^\"]*\"", "")
-    each = payloads.select(F.explode(member).alias("raw")).select(clean(F.concat(F.lit("<m>"), "raw", F.lit("</m>"))).alias("x"))
-    schema = "struct<Observation:struct<metadata:struct<set:struct<`identification-elements`:struct<element:array<struct<_name:string,_value:string>>>>>,resultTime:struct<TimeInstant:struct<timePosition:string>>,result:struct<elements:struct<element:array<struct<_name:string,_uom:string,_value:string>>>>>>"
-    parsed = each.select(F.from_xml("x", schema)["Observation"].alias("o"))
-    ids = F.map_from_arrays(F.expr("o.metadata.`set`.`identification-elements`.element._name"), F.expr("o.metadata.`set`.`identification-elements`.element._value"))
-    rows = parsed.select(ids.alias("ids"), F.try_to_timestamp(F.expr("o.resultTime.TimeInstant.timePosition")).alias("result_time"), F.explode(F.expr("o.result.elements.element")).alias("e"))
-    station = F.coalesce(present(F.col("ids")["msc_id"]), F.concat_ws("-", F.col("ids")["dat_pvdr"], F.coalesce(F.col("ids")["tc_id"], F.col("ids")["stn_id"])))
-    return rows.select(F.col("ids")["dat_pvdr"].alias("provider"), station.alias("station"), "result_time", F.col("e._name").alias("name"), F.col("e._uom").alias("uom"), present(F.col("e._value")).alias("value"))
+    parsed = F.from_xml(F.col(text).cast("string"), f"struct<member:array<struct<Observation:{OBSERVATION}>>>", {"ignoreNamespace": "true"})
+    each = payloads.select(F.explode(parsed["member"]).alias("m"), (hint if hint is not None else F.lit(None).cast("string")).alias("hint")).select("m.Observation.*", "hint")
+    elements = F.expr("metadata.`set`.`identification-elements`.element")
+    ids = F.map_from_entries(F.transform(elements, lambda e: F.struct(e["_name"], e["_value"])))
+    rows = each.select(ids.alias("ids"), "hint", F.try_to_timestamp(F.col("resultTime.TimeInstant.timePosition")).alias("result_time"), F.explode("result.elements.element").alias("e"))
+    own = lambda name: F.try_element_at("ids", F.lit(name))
+    station = station_identity(own("msc_id"), own("data_pvdr"), own("tc_id"), own("stn_id"), F.col("hint"))
+    return rows.select(F.coalesce(own("data_pvdr"), F.col("hint")).alias("provider"), station.alias("station"), "result_time", F.col("e._name").alias("name"), F.col("e._uom").alias("uom"), present(F.col("e._value")).alias("value"))
 
 
 def long_rows(wide: DataFrame, fields: list[tuple], keys: list[str]) -> DataFrame:

@@ -168,4 +168,4 @@ def test_report_of_two_versions(spark):
 def test_station_identity(spark):
     frame = spark.sql("SELECT * FROM VALUES ('7', 'MSC', 'ADN', null), ('', 'MSC', 'ADN', '9'), (null, 'MSC', ' ', '9'), (null, 'MSC', null, null), (null, null, 'ADN', null) AS v(m, p, t, s)")
     got = [r[0] for r in frame.select(reconcile.station_identity(*[F.col(c) for c in "mpts"])).collect()]
-    assert got == ["7", "MSC:ADN", "MSC:9", None, None]
+    assert got == ["msc_id:7", "MSC:tc_id:ADN", "MSC:stn_id:9", None, None]
