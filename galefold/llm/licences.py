@@ -11,8 +11,11 @@ can miss only a few, so of one more than that many (the longest ones, as they ar
 one. Wherever an anchor occurs, the window that puts it to its place in the template is scored; of each
 document and template the best window is given, the first of equals.
 
-The templates (fixed in this module or given, a few thousand bigrams) are broadcast; only bigrams that
-occur in a template leave the scan. Line ends may be LF, CRLF or CR.
+So has every unit that reaches ``percent``. The first stage therefore only looks for anchors: texts without one
+are done, the others, few in most corpora, are written and scanned for units and windows.
+
+The templates (fixed in this module or given, a few thousand bigrams) are broadcast. Line ends may be LF, CRLF
+or CR.
 
 Edge cases: null texts and units of fewer than two words give nothing. Copies of a row are scanned row by
 row but share results (rows with equal ids and units are one, null ids too). Texts of any length are scanned
@@ -27,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galefold.llm.shared import Scratch
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Notices and texts of public licences.
@@ -132,10 +137,29 @@ def scan(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: s
     spark, known = docs.sparkSession, prepared(templates or TEMPLATES)
     texts = ", ".join(f"({t.number}, '{t.licence}', {len(t.words)}, {len(t.pairs)}, array({', '.join(map(repr, t.pairs))}))" for t in known)
     theirs = spark.sql(f"SELECT * FROM VALUES {texts} AS t(template, licence, template_words, template_bigrams, template_pairs)")
-    out = union_of_units(docs, theirs, known, percent, id_col, text_col).union(windows(docs, theirs, known, percent, id_col, text_col))
+    some = Scratch(spark, "licences").keep(anchored(docs, known, percent, id_col, text_col))
+    out = union_of_units(some, theirs, known, percent, "doc_id", "text").union(windows(some, theirs, known, percent, "doc_id", "text"))
     return out.select("doc_id", "unit", *[F.col(c).cast("bigint").alias(c) if c != "licence" else c for c in ("unit_no", "licence", "template", "shared", "unit_bigrams", "template_bigrams")])
 
 
+def spread_pairs(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """The columns ``keep``, words, at, pair: the bigrams of each text with their places."""
+    # Exploding an array of one binds its value, so that it isn't made anew for each use.
+    own = docs.select(*keep, F.explode(F.array(words(F.col(text_col).cast("string")))).alias("words")).where(F.size("words") >= 2)
+    pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return own.select(*keep, "words", F.posexplode(pairs).alias("at", "pair"))
+
+
+def anchored(docs: DataFrame, known: list[Template], percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text) of the texts that have an anchor of a template."""
+    pairs = ", ".join(f"'{pair}'" for pair in sorted({pair for t in known for _, pair in t.anchors(percent)}))
+    wanted = docs.sparkSession.sql(f"SELECT * FROM VALUES {pairs} AS a(pair)")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col)).alias("hash")).where("text IS NOT NULL")
+    met = spread_pairs(rows, "text", "doc_id", "text", "hash").join(F.broadcast(wanted), "pair", "left_semi")  # the templates
+    # All hits of a row are in one task, so it leaves it once.
+    return met.groupBy("doc_id", "hash").agg(F.any_value("text").alias("text")).select("doc_id", "text")
+
+
 def union_of_units(docs: DataFrame, theirs: DataFrame, known: list[Template], percent: int, id_col: str, text_col: str) -> DataFrame:
     """Lines, blocks and whole texts."""
     sizes = [len(t.pairs) for t in known]
@@ -155,8 +179,7 @@ def windows(docs: DataFrame, theirs: DataFrame, known: list[Template], percent:
     """The best window of each document and template that reaches ``percent``."""
     anchors = ", ".join(f"({t.number}, {place}, '{pair}')" for t in known for place, pair in t.anchors(percent))
     anchors = docs.sparkSession.sql(f"SELECT * FROM VALUES {anchors} AS a(template, place, pair)").join(F.broadcast(theirs), "template")
-    own = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.array(words(F.col(text_col).cast("string")))).alias("words")).where(F.size("words") >= 2)
-    spread = own.select("doc_id", "words", F.posexplode(F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda a, b: F.concat(a, F.lit(" "), b))).alias("at", "pair"))
+    spread = spread_pairs(docs.withColumnRenamed(id_col, "doc_id"), text_col, "doc_id")
     met = spread.join(F.broadcast(anchors), "pair")  # the templates
     met = met.withColumn("start", F.greatest(F.col("at") - F.col("place"), F.lit(0)))
     held = met.select("doc_id", "start", "licence", "template", "template_bigrams", "template_pairs", F.explode(F.array(F.slice("words", F.col("start") + 1, F.col("template_words")))).alias("held"))
