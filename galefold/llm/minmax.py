@@ -7,15 +7,16 @@ joins rows of different permutations, which keeps its rows independent even for
 * Equal shingle sets are collapsed first (a map-side combined aggregation), so thousands of copies
   cost one row from there on.
 * Documents that share a band are candidates. First, every document is held against the smallest
-  document of any of its buckets. Then, where buckets with the same smallest document still hold
-  several components, the documents of different components are compared by a prefix filter: under one
-  order of all shingles (rare ones first, by a count in fixed slots; any order is right) two sets that are
-  alike have one of the first ``n - ceil(share * n) + 1`` shingles in common. So only documents that share
-  such a shingle within a group meet, by size, and only those that can still reach the share from there on:
-  pages that merely share their boilerplate don't. Shingles with the same documents are one. Large groups meet in units of about ``QUERIES`` by ``ROWS`` documents, streamed
-  through bounded memory: a unit's queries are held, its rows pass by, and only links between components
-  that it hasn't joined yet leave. So no pairs are listed, no group of any size comes into one task, and
-  no connection is left out. Rows of a unit carry the hashes of their shingles, not texts.
+  document of any of its buckets. Then, where buckets with the same smallest document (a group) still hold
+  several components, the documents of different components meet. They do so in units of about ``QUERIES`` by
+  ``ROWS`` documents, streamed through bounded memory: a unit's queries are held, its rows pass by, and only
+  links between components that it hasn't joined yet leave. So no pairs are listed, no group of any size comes
+  into one task, and no connection is left out. Rows of a unit carry the hashes of their shingles, not texts.
+* Groups of over ``LARGE`` documents pass a prefix filter before: under one order of all shingles (rare ones
+  first, by a count in fixed slots; any order is right) two sets that are alike have one of the first
+  ``n - ceil(share * n) + 1`` shingles in common. So only documents that share such a shingle meet, by size, and
+  only those that can still reach the share from there on: pages that merely share their boilerplate don't.
+  Shingles with the same documents are one. Neighbours by size are compared first, for a few rounds.
 * Each link is confirmed on the full shingle sets (tuples of words, not hashes).
 * Components come from contraction: each round every document adopts the smallest label near it.
 
@@ -29,11 +30,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galefold.llm.shared import Scratch, texts_of, type_of
@@ -44,6 +46,12 @@ FILTER_POWER = 28
 COUNT_POWER = 18
 #: Documents that a task of the second comparison holds, and that pass it, about.
 QUERIES, ROWS = 64, 256
+#: Groups of more documents pass the prefix filter first.
+LARGE = 256
+#: Rounds of comparing neighbours in those, and documents among which neighbours are taken, about.
+ROUNDS, NEIGHBOURS = 2, 4096
+#: Values that a batch of lists holds, about.
+VALUES = 1 << 19
 
 
 def lowered(text: str) -> bytes:
@@ -193,10 +201,14 @@ def hashed_sets(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_hashes(word_hashes(lowered(x or "")), words).view(np.int64) for x in texts_of(batch.column(1))]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            values = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["rep", "shingles"])
+            found, begin, held = [], 0, 0
+            texts = texts_of(batch.column(1))
+            for i, text in enumerate(texts, 1):
+                found.append(shingle_hashes(word_hashes(lowered(text or "")), words).view(np.int64))
+                held += len(found[-1])
+                if held > VALUES or i == len(texts):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i - begin), listed(found)], names=["rep", "shingles"])
+                    found, begin, held = [], i, 0
 
     some = texts_named(reps.select(F.col("rep").alias("id")), texts)
     made = some.mapInArrow(make, f"rep {type_of(texts, 'doc_id')}, shingles array<bigint>")
@@ -204,6 +216,11 @@ def hashed_sets(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return made.withColumn("hash", F.xxhash64("shingles")).dropDuplicates(["rep", "hash"]).select("rep", "shingles")
 
 
+def listed(items: list[np.ndarray]) -> pa.Array:
+    """A list column."""
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, items)]).astype(np.int32)), pa.array(np.concatenate(items)))
+
+
 def lists(column: pa.Array) -> list[np.ndarray]:
     """The items of a list column."""
     ends, values = column.offsets.to_numpy(), column.values.to_numpy()
@@ -211,7 +228,7 @@ def lists(column: pa.Array) -> list[np.ndarray]:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, size, token, turn, after): the shingles of which two sets that are alike have one in common.
+    """(group, rep, comp, size, token, turn, after): the shingles of which two sets that are alike have one in common; ``sets``: (group, rep, comp, shingles).
 
     Shingles are in the order of ``turn`` (how often their slot was seen), then of their unsigned value;
     ``after`` is how many of the set come from this one on.
@@ -233,33 +250,34 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, size, token, turn, after = ([] for _ in range(5))
-            for i, own in enumerate(lists(batch.column(1))):
+            row, columns, held = [], [[] for _ in range(4)], 0
+            for i, own in enumerate(lists(batch.column(3)), 1):
                 keys, n = own.view(np.uint64), len(own)
                 turns = shared.value[(keys >> shift).astype(np.int64)]
                 first = np.lexsort((keys, turns))[: n + percent * n // -100 + 1]
-                row.append(np.full(len(first), i))
-                size.append(np.full(len(first), n))
-                token.append(own[first])
-                turn.append(turns[first])
-                after.append(n - np.arange(len(first)))
-            if row:
-                columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in (size, token, turn, after)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(row))), *columns], names=["rep", "size", "token", "turn", "after"])
+                row.append(np.full(len(first), i - 1))
+                for column, part in zip(columns, (np.full(len(first), n), own[first], turns[first], n - np.arange(len(first))), strict=True):
+                    column.append(part)
+                held += len(first)
+                if held > VALUES or i == batch.num_rows:
+                    at = pa.array(np.concatenate(row))
+                    yield pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in range(3)], *[pa.array(np.concatenate(x).astype(np.int64)) for x in columns]], names=["group", "rep", "comp", "size", "token", "turn", "after"])
+                    row, columns, held = [], [[] for _ in range(4)], 0
 
-    return sets.mapInArrow(cut, f"rep {type_of(sets, 'rep')}, size bigint, token bigint, turn bigint, after bigint")
+    kinds = ", ".join(f"{c} {type_of(sets, c)}" for c in ("group", "rep", "comp"))
+    return sets.select("group", "rep", "comp", "shingles").mapInArrow(cut, f"{kinds}, size bigint, token bigint, turn bigint, after bigint")
 
 
-def meetings(contested: DataFrame, tokens: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def meetings(tokens: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(meeting, rep, comp, size, after, home): which documents of different components may be alike, by a shingle they share.
 
-    ``contested``: (group, rep, comp); ``tokens``: their ``prefixes``. Documents of a group meet at a shingle, by
+    ``tokens``: the ``prefixes`` of contested documents. Documents of a group meet at a shingle, by
     size: two sets that are alike have sizes in the same cell (each as large again by the inverse of the share) or
     neighbouring ones, so each goes to its own (``home``) and the next. At the first shingle that two sets share, they
     have no more in common than either has from there on; who can't reach the share with the smallest
     one there, stays out.
     """
-    keyed = scratch.keep(contested.join(tokens, "rep"))
+    keyed = scratch.keep(tokens)
     crossed = lambda rows, *by: rows.groupBy(*by).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("size").alias("least")).where("low < high")
     met = keyed.groupBy("group", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("turn").alias("turn"), F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in (1, 2)])
     # Shingles with the same documents are one: the first of them.
@@ -274,26 +292,60 @@ def meetings(contested: DataFrame, tokens: DataFrame, percent: int, scratch: Scr
     return scratch.keep(able.join(scratch.keep(crossed(able, "meeting").select("meeting")), "meeting"))
 
 
+def neighbours(dealt: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) for each document the one of another component that it is next to, by size, in most meetings."""
+    sizes = dealt.groupBy("meeting").agg(F.ceil(F.count("*") / NEIGHBOURS).cast("int").alias("blocks"))
+    placed = dealt.join(scratch.keep(sizes), "meeting").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    w = Window.partitionBy("meeting", "block").orderBy("size", "rep")
+    beside = placed.select("rep", "comp", F.lag("rep").over(w).alias("other"), F.lag("comp").over(w).alias("its")).where("comp <> its")
+    pairs = beside.groupBy(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).agg(F.count("*").alias("n"))
+    ends = scratch.keep(pairs).select(F.explode(F.array("a", "b")).alias("rep"), "a", "b", "n")
+    best = ends.groupBy("rep").agg(F.max(F.struct("n", "a", "b")).alias("p")).select("p.a", "p.b")
+    return scratch.keep(best.distinct())
+
+
 def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that join the components of each group; ``members``: (group, rep, comp).
 
-    Where documents meet, those outside of the largest component are the queries.
+    In large groups, neighbours in the meetings are compared first, for a few rounds, which joins most families at
+    the cost of a text a document. Where components meet, the documents outside of the largest one are the
+    queries, and meet all the others.
     """
     kind = type_of(texts, "doc_id")
-    several = members.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("group")
+    several = members.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("held")).where("low < high").select("group", "held")
     contested = scratch.keep(members.join(scratch.keep(several), "group"))
     sets = scratch.keep(hashed_sets(contested.select("rep").distinct(), texts, words))
-    dealt = meetings(contested, prefixes(sets, percent), percent, scratch)
+    # ``after`` is null where a set is compared whole.
+    dealt = contested.where(F.col("held") <= LARGE).select(F.xxhash64("group").alias("meeting"), "rep", "comp", F.lit(None).cast("bigint").alias("after"), F.lit(True).alias("home"))
+    found = []
+    large = contested.where(F.col("held") > LARGE).drop("held")
+    if not large.isEmpty():
+        apart = meetings(prefixes(scratch.keep(large.join(sets, "rep")), percent), percent, scratch)
+        for _ in range(ROUNDS):
+            links = scratch.keep(linked_pairs(neighbours(apart, scratch), texts, words, percent))
+            if links.isEmpty():
+                break
+            found.append(links)
+            of = scratch.keep(apart.select("rep", "comp").distinct())
+            ends = links.join(of.withColumnsRenamed({"rep": "a", "comp": "u"}), "a").join(of.withColumnsRenamed({"rep": "b", "comp": "v"}), "b")
+            moved = components(ends.select("u", "v"), scratch).select(F.col("node").alias("comp"), F.col("comp").alias("now"))
+            apart, dealt = (x.join(moved, "comp", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now") for x in (apart, dealt))
+            apart = scratch.keep(apart)
+            still = apart.groupBy("meeting").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("meeting")
+            apart = scratch.keep(apart.join(scratch.keep(still), "meeting"))
+        dealt = dealt.unionByName(apart.drop("size"))
+    dealt = scratch.keep(dealt)
 
     parts = dealt.groupBy("meeting", "comp").agg(F.count("*").alias("n"))
-    sizes = parts.groupBy("meeting").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest"))
+    sizes = parts.groupBy("meeting").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest")).where("most < n")
     shares = sizes.select("meeting", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
     dealt = dealt.join(scratch.keep(shares), "meeting")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("salt", F.pmod(F.xxhash64("comp", "rep"), F.col("salts")).cast("int"))
-    own = ["rep", "comp", "size", "after", "home"]
+    own = ["rep", "comp", "after", "home"]
     queries = dealt.where("comp <> largest").select("meeting", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), *own)
     passing = dealt.select("meeting", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "salt", F.lit(1).alias("role"), *own)
-    held = queries.union(passing).join(sets, "rep").select("meeting", "block", "salt", "role", *own, "shingles")
+    held = queries.union(passing).join(sets, "rep").withColumn("size", F.size("shingles").cast("bigint"))
+    held = held.select("meeting", "block", "salt", "role", "rep", "comp", "size", F.coalesce("after", "size").alias("after"), "home", "shingles")
     units = held.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "meeting", "block", "salt").sortWithinPartitions("meeting", "block", "salt", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +384,8 @@ def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.types[4]), pa.array(b, batch.schema.types[4])], names=["a", "b"])
 
-    found = scratch.keep(units.mapInArrow(compare, f"a {kind}, b {kind}").distinct())
-    return linked_pairs(found, texts, words, percent)
+    rest = scratch.keep(units.mapInArrow(compare, f"a {kind}, b {kind}").distinct())
+    return reduce(DataFrame.union, found, linked_pairs(rest, texts, words, percent))
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:

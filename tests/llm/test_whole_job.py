@@ -182,8 +182,10 @@ def test_decontamination_judges_rows_on_their_own(spark):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(0, first), (0, second), (3, first), (3, second), (4, "clean")])
 
 
-def test_near_duplicates_of_families_around_the_threshold(spark):
-    """Boilerplate families, chains and copies of many shares and lengths give the brute-force components."""
+@pytest.mark.parametrize("large", [256, 0])
+def test_near_duplicates_of_families_around_the_threshold(spark, monkeypatch, large):
+    """Boilerplate families, chains and copies of many shares and lengths give the brute-force components, with and without the prefix filter."""
+    monkeypatch.setattr(minmax, "LARGE", large)
     r = random.Random(8)
     rows = []
     for _ in range(12):
@@ -209,7 +211,7 @@ def test_boilerplate_family_stays_cheap(spark):
     contested = spark.range(400).select(F.lit(0).alias("group"), F.col("id").alias("rep"), F.xxhash64("id").alias("comp"))
     scratch = Scratch(spark, "family")
     sets = scratch.keep(minmax.hashed_sets(contested.select("rep"), texts, 5))
-    assert minmax.meetings(contested, minmax.prefixes(sets, 75), 75, scratch).count() == 0
+    assert minmax.meetings(minmax.prefixes(contested.join(sets, "rep"), 75), 75, scratch).count() == 0
 
 
 def brute_windows(text, percent=75):
