@@ -7,22 +7,22 @@ from functools import cache
 
 import numpy as np
 
-#: Code points that one pass of the array operators takes.
-BLOCK = 1 << 20
+#: Code points that one pass of the array operators takes at most, and that short texts are put together to.
+BLOCK, GROUP = 1 << 20, 1 << 18
 
 
 def points(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def blocks(texts: list[str], block: int = BLOCK) -> Iterator[tuple[list[int], list[str], list[bool]]]:
+def blocks(texts: list[str], block: int = BLOCK, group: int = GROUP) -> Iterator[tuple[list[int], list[str], list[bool]]]:
     """Whole texts in bounded passes: (indexes, pieces, whether each piece begins its text).
 
-    Short texts go together; a text longer than ``block`` comes alone, piece after piece.
+    Short texts go together up to ``group``; a text longer than ``block`` comes alone, piece after piece.
     """
     at, pieces, heads, total = [], [], [], 0
     for i, text in enumerate(texts):
-        if at and total + len(text) > block:
+        if at and total + len(text) > group:
             yield at, pieces, heads
             at, pieces, heads, total = [], [], [], 0
         if len(text) <= block:
@@ -40,9 +40,7 @@ def blocks(texts: list[str], block: int = BLOCK) -> Iterator[tuple[list[int], li
 @cache
 def letters() -> np.ndarray:
     """For each code point its lower-case form if it is a letter, else 0."""
-    table = np.zeros(0x110000, np.uint32)
-    table[:] = [ord(c.lower()[0]) if (c := chr(i)).isalpha() else 0 for i in range(0x110000)]
-    return table
+    return np.fromiter((ord(c.lower()[0]) if (c := chr(i)).isalpha() else 0 for i in range(0x110000)), np.uint32, 0x110000)
 
 
 @cache
