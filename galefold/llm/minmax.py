@@ -40,7 +40,9 @@ from pyspark.sql import functions as F
 
 from galefold.llm.shared import Scratch, texts_of, type_of
 
-#: Most bits of the id filter that goes to the scan, as a power of two (32 MB); it has 16 to 32 bits an id below that.
+#: So many ids at most are broadcast to the scan of the texts; of more, a filter is.
+FEW_IDS = 1_000_000
+#: Most bits of that filter, as a power of two (32 MB); it has 16 to 32 bits an id below that.
 FILTER_POWER = 28
 #: Slots that count shingles for the order of the prefix filter, as a power of two.
 COUNT_POWER = 18
@@ -156,9 +158,14 @@ def alike(a: set, b: set, percent: int) -> bool:
 
 
 def texts_named(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` (doc_id, text) that a filter of bounded size of the column ``id`` lets through; others may be among them."""
-    spark = ids.sparkSession
-    power = min(FILTER_POWER, max(15, (16 * ids.count()).bit_length()))
+    """The rows of ``texts`` (doc_id, text) whose id is in the column ``id``, found without shuffling texts.
+
+    Few ids, by a count, are broadcast; of more, a filter of bounded size, which lets some others through.
+    """
+    spark, n = ids.sparkSession, ids.count()
+    if n <= FEW_IDS:
+        return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("id"), "left_semi")
+    power = min(FILTER_POWER, max(15, (16 * n).bit_length()))
     slot = F.shiftrightunsigned(F.xxhash64("id"), 64 - power)
     parts = ids.select(F.shiftright(slot, 15).cast("int").alias("part"), slot.bitwiseAND(F.lit(32767)).alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
     packed = np.zeros((1 << power) // 8, np.uint8)

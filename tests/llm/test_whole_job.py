@@ -186,6 +186,7 @@ def test_decontamination_judges_rows_on_their_own(spark):
 def test_near_duplicates_of_families_around_the_threshold(spark, monkeypatch, large):
     """Boilerplate families, chains and copies of many shares and lengths give the brute-force components, with and without the prefix filter."""
     monkeypatch.setattr(minmax, "LARGE", large)
+    monkeypatch.setattr(minmax, "FEW_IDS", 10**6 if large else 0)
     r = random.Random(8)
     rows = []
     for _ in range(12):
