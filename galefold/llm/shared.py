@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -82,14 +85,38 @@ def listed_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getName() for x in found if files.exists(hadoop.Path(x, "_SUCCESS")))
 
 
+@cache
+def _trim() -> Callable[[int], int]:
+    """The C library's ``malloc_trim``, or nothing where it has none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
+def release() -> None:
+    """Give memory that earlier batches held back to the system; a worker that is used again would keep it."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def texts_of(column: pa.Array) -> list[str | None]:
     """Python strings of an Arrow string column; bytes that are no UTF-8 become replacement characters."""
+    if column.nbytes > 1 << 20:
+        release()
     try:
         return column.to_pylist()
     except UnicodeDecodeError:
         return [None if x is None else x.decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
 
 
+def text_slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, list[str | None]]]:
+    """(place of the first, texts): a column's texts in slices of about ``most`` bytes, so that few are Python strings at once."""
+    for lo, hi in runs(pc.binary_length(column).fill_null(0).to_pylist(), most):
+        yield lo, texts_of(column.slice(lo, hi - lo))
+    release()
+
+
 def runs(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive items whose lengths add up to ``most`` at most, or that hold a single item."""
     begin, total = 0, 0
