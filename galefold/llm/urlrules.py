@@ -163,13 +163,14 @@ def labelled_by_text(pages: DataFrame, docs: DataFrame, labels: DataFrame, id_co
     judged_ids = labels.select("doc_id", bad.alias("bad")).where("doc_id IS NOT NULL AND bad IS NOT NULL")
     # Only ids and hashes are shuffled.
     keyed = docs.select("doc_id", F.xxhash64(even(F.col("text").cast("string"))).alias("key")).where("doc_id IS NOT NULL AND key IS NOT NULL")
-    known = keyed.join(judged_ids, "doc_id").groupBy("key").agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
+    # Both grow with the corpus: merged, not broadcast on a first guess of their size.
+    known = keyed.join(judged_ids.hint("merge"), "doc_id").groupBy("key").agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
     title = even(F.coalesce(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit("")))
     own = mainhtml.extract(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), keep_html=True)
     own = own.where("text <> ''").withColumn("title", title)
     bare = F.when(F.startswith("text", F.concat("title", F.lit(" "))), F.substr("text", F.length("title") + 2)).otherwise(F.col("text"))
     keys = own.select("page_id", "url", F.explode(F.array_distinct(F.array(F.xxhash64("text"), F.xxhash64(bare)))).alias("key"))
-    told = keys.join(known, "key").groupBy("page_id", "url").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    told = keys.join(known.hint("merge"), "key").groupBy("page_id", "url").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     return told.select(F.col("url").cast("string").alias("url"), (2 * F.col("bad") > F.col("n")).alias("blocked"))
 
 
