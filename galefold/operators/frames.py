@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,19 @@ def upsert(base: DataFrame, fetched: DataFrame, keys: Sequence[str], order: Sequ
     return first_of(both, keys, [F.col("_origin").desc(), *order]).drop("_origin")
 
 
+def upsert_few(base: DataFrame, fetched: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``upsert`` into a base that has each key once: no row of the base is shuffled if a count finds few fetched ones.
+
+    The base loses the fetched keys by a broadcast anti join; beyond ``broadcast_rows`` it is the plain upsert.
+    """
+    if fetched.count() > broadcast_rows:
+        return upsert(base, fetched, keys, order)
+    fresh = first_of(fetched, keys, order) if order else fetched.dropDuplicates(list(keys))
+    gone = F.broadcast(fresh.select(*[F.col(k).alias(f"_{k}") for k in keys]))  # counted above
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return base.join(gone, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
+
+
 def compose(base: DataFrame | None, fetched: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), dedup_initial: bool = False) -> DataFrame:
     """Upsert; a first load keeps repeated keys unless told otherwise, and nothing fetched leaves the base as it is."""
     if base is None:

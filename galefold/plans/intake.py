@@ -118,6 +118,51 @@ def backfill_create_only(s, d):
     return s.read.parquet(root).groupBy(F.col("year").cast("int").alias("year")).agg(F.count("*").alias("n"))
 
 
+@query("SELECT 1::BIGINT AS files, count(*) AS rows, 0::BIGINT AS unsorted_files FROM orders WHERE year(o_orderdate) = 1997")
+def compacted_year(s, d):
+    """A year's files put together into one, in the order of the keys."""
+    root, to = fresh_folder(s, "parts"), fresh_folder(s, "compact")
+    rows = t(s, d, "orders").where("year(o_orderdate) = 1997").select(F.col("o_custkey").alias("station"), "o_orderkey", F.col("o_orderdate").alias("valid"))
+    partitions.write_years(rows, root, rows_per_file=200, keys=("station", "o_orderkey", "valid"))
+    partitions.compact_year(s, root, 1997, to, keys=("station", "o_orderkey", "valid"))
+    back = s.read.parquet(to)
+    sizes = back.agg(F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("rows"))
+    return sizes.crossJoin(partitions.out_of_order(back, "station", "o_orderkey", "valid").agg(F.count("*").alias("unsorted_files")))  # one row each
+
+
+@query("SELECT date_trunc('hour', ts)::TIMESTAMP + INTERVAL 1 HOUR AS hour, count(DISTINCT user_id) AS n FROM (SELECT ts - INTERVAL 1 MICROSECOND AS ts, user_id FROM events WHERE ts > TIMESTAMP '2024-01-18 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00') GROUP BY 1")
+def bounded_hour_counts(s, d):
+    """Stations of each hour of two days: two columns and a range of the time reach the scan."""
+    rows = t(s, d, "events").where("ts > timestamp_ntz'2024-01-18 00:00:00' AND ts <= timestamp_ntz'2024-01-20 00:00:00'")
+    return rows.groupBy(C.hour_label(F.col("ts")).alias("hour")).agg(F.count_distinct("user_id").alias("n"))
+
+
+@query("SELECT event_id, TRY_CAST(CASE WHEN event_id % 3 = 0 THEN 'M' WHEN event_id % 3 = 1 THEN '' ELSE value::VARCHAR END AS DOUBLE) AS value FROM events")
+def tolerant_casts(s, d):
+    k = F.col("event_id") % 3
+    return t(s, d, "events").select("event_id", F.when(k == 0, "M").when(k == 1, "").otherwise(F.col("value").cast("string")).try_cast("double").alias("value"))
+
+
+@query("SELECT event_id, ts >= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR AS healed FROM events WHERE event_id % 3 = 0")
+def late_reports(s, d):
+    """Which late reports the scheduled re-reads still take in; older ones need a window given by hand."""
+    newest = t(s, d, "events").agg(F.max("ts").alias("newest"))
+    rows = t(s, d, "events").where("event_id % 3 = 0").crossJoin(F.broadcast(newest))  # one row
+    return rows.select("event_id", (F.col("ts") >= F.col("newest") - F.expr("interval 72 hours")).alias("healed"))
+
+
+@query("SELECT * FROM (VALUES ('columns changed'), ('type of value changed'), ('rows out of order')) v(problem)")
+def version_violations(s, d):
+    """Two versions of a table that differ in their columns' order and types, the later one unsorted."""
+    e = t(s, d, "events").select("user_id", "ts", "value")
+    later = e.select("ts", "user_id", F.col("value").cast("float").alias("value"))
+    found = reconcile.column_violations(e.schema, later.schema)
+    root = fresh_folder(s, "versions")
+    later.coalesce(1).sortWithinPartitions(F.col("user_id").desc(), "ts").write.parquet(root)
+    unsorted = partitions.out_of_order(s.read.parquet(root), "user_id", "ts").select(F.lit("rows out of order").alias("problem"))
+    return s.createDataFrame([(x.split(":")[0],) for x in found], "problem string").union(unsorted)
+
+
 @query("SELECT column_name, problem FROM (VALUES ('extra_column', 'unknown'), ('wxcodes', 'missing')) v(column_name, problem)")
 def schema_difference(s, d):
     """Columns that a table lacks or that its schema doesn't know, from the footer alone."""
@@ -128,7 +173,7 @@ def schema_difference(s, d):
     return s.createDataFrame([(n, "missing") for n in missing] + [(n, "unknown") for n in extra], "column_name string, problem string")
 
 
-@query("SELECT event_id::VARCHAR AS source_record_id, value AS value_float, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 3600.0 END AS period_seconds, row_number() OVER (ORDER BY user_id::VARCHAR, event_type, ts, coalesce(CASE WHEN event_id % 3 = 0 THEN NULL ELSE 3600.0 END, -1), event_id::VARCHAR) AS place FROM events WHERE user_id < 5")
+@query("SELECT event_id::VARCHAR AS source_record_id, value AS value_float, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 3600.0::DOUBLE END AS period_seconds, row_number() OVER (ORDER BY user_id::VARCHAR, event_type, ts, coalesce(CASE WHEN event_id % 3 = 0 THEN NULL ELSE 3600.0 END, -1), event_id::VARCHAR) AS place FROM events WHERE user_id < 5")
 def typed_round_trip(s, d):
     """Normalized records written with their schema, read back, in canonical order (no period sorts first)."""
     from pyspark.sql import Window
@@ -257,7 +302,7 @@ def sorted_json_ids(s, d):
 # --- readers of raw formats ----------------------------------------------------------------------
 
 
-@query("""SELECT user_id::VARCHAR AS station, date_trunc('minute', ts)::TIMESTAMP AS valid, value AS tmpf, CASE event_id % 5 WHEN 0 THEN 0.0 WHEN 1 THEN NULL ELSE 0.25 END AS p01m, event_id % 5 = 0 AS is_trace, CASE WHEN event_id % 2 = 0 THEN 'RA' END AS wxcodes FROM events WHERE event_id % 7 <> 0""")
+@query("""SELECT user_id::VARCHAR AS station, date_trunc('minute', ts)::TIMESTAMP AS valid, value AS tmpf, (CASE event_id % 5 WHEN 0 THEN 0.0 WHEN 1 THEN NULL ELSE 0.25 END)::DOUBLE AS p01m, event_id % 5 = 0 AS is_trace, CASE WHEN event_id % 2 = 0 THEN 'RA' END AS wxcodes FROM events WHERE event_id % 7 <> 0""")
 def hourly_csv_rows(s, d):
     """Reports as CSV files: blanks and M are missing, T is a trace, reports without a temperature are dropped."""
     e = t(s, d, "events")
@@ -615,6 +660,14 @@ def composed_version(s, d):
     return frames.composed(base, fetched, stations, ["user_id", "ts"], ["country"], "country").select("user_id", "ts", "value", "country")
 
 
+@query("WITH f AS (SELECT user_id, ts, max(value) AS value FROM (SELECT user_id, ts, value + 1 AS value FROM events WHERE event_id % 50 = 0 UNION ALL SELECT user_id, ts + INTERVAL 1 YEAR, value FROM events WHERE event_id % 50 = 1) GROUP BY 1, 2) SELECT * FROM f UNION ALL SELECT user_id, ts, value FROM events e WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.user_id = e.user_id AND f.ts = e.ts)")
+def upsert_few(s, d):
+    """A small fetch into a large unique table, without shuffling the table."""
+    base = t(s, d, "events").select("user_id", "ts", "value")
+    fetched = t(s, d, "events").where("event_id % 50 = 0").select("user_id", "ts", (F.col("value") + 1).alias("value")).union(t(s, d, "events").where("event_id % 50 = 1").select("user_id", F.col("ts") + F.expr("interval 1 year"), "value"))
+    return frames.upsert_few(base, fetched, ["user_id", "ts"], [F.col("value").desc()])
+
+
 @query("""WITH a AS (SELECT event_id, user_id, ts, event_type, floor(value / 250) AS value FROM events WHERE user_id < 60),
 w AS (SELECT user_id, ts FROM a WHERE event_type = 'error'), z AS (SELECT * FROM a WHERE event_type = 'view' AND value = 0),
 c AS (SELECT z.*, EXISTS (SELECT 1 FROM w WHERE w.user_id = z.user_id AND w.ts > z.ts - INTERVAL 1 HOUR AND w.ts <= z.ts) AS hit FROM z),
@@ -673,10 +726,13 @@ def geometry_union(s, d):
 
 @query(f"SELECT 'Point' AS kind, 'OGC:CRS84' AS crs, 'geometry' AS primary_column, (SELECT min(longitude) FROM {_PLACES} WHERE station % 6 <> 0) AS xmin, (SELECT max(latitude) FROM {_PLACES} WHERE station % 6 <> 0) AS ymax, 0::BIGINT AS problems")
 def geo_document(s, d):
-    """A written table's geo document is the union of its parts' and fits the table's schema."""
+    """The geo document in a written table's footer is the union of its parts' and fits the table's schema."""
     rows = partitions.with_geometry(_places(s, d).where("station % 6 <> 0"))
     parts = [geo.geo_metadata(rows.where(F.col("station") % 3 == i)) for i in (1, 2)] + [geo.geo_metadata(rows.where("station % 3 = 0"))]
     document = geo.geo_union(parts)
+    root = fresh_folder(s, "geo")
+    geo.stamped(rows, document).write.parquet(root)
+    document = geo.document_of(s.read.parquet(root))
     problems = geo.geo_violations(geo.geo_metadata(rows), document, rows.schema)
     column = json.loads(document)["columns"]["geometry"]
     return s.createDataFrame([(column["geometry_types"][0], geo.declared_crs(document), json.loads(document)["primary_column"], column["bbox"][0], column["bbox"][3], len(problems))], "kind string, crs string, primary_column string, xmin double, ymax double, problems bigint")

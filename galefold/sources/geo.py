@@ -42,6 +42,16 @@ def geo_metadata(frame: DataFrame, geometry: str = "geometry", crs: str = DEFAUL
     return json.dumps({"version": "1.1.0", "primary_column": geometry, "columns": {geometry: column}}, sort_keys=True)
 
 
+def stamped(frame: DataFrame, document: str, geometry: str = "geometry") -> DataFrame:
+    """``frame`` whose geometry column carries the document: Spark writes it into every file's footer with the column."""
+    return frame.withMetadata(geometry, {"geo": document})
+
+
+def document_of(frame: DataFrame, geometry: str = "geometry") -> str | None:
+    """The document that a table's footer has; None for a table without one."""
+    return frame.schema[geometry].metadata.get("geo")
+
+
 def geo_union(documents: list[str]) -> str:
     """The document of the whole from those of its parts; parts that differ in anything but bounds and kinds are an error."""
     parts = [json.loads(d) for d in documents]

@@ -31,14 +31,15 @@ def with_geometry(frame: DataFrame) -> DataFrame:
     return frame.withColumn("geometry", wkb_point(lon, lat)).withColumn("bbox", box)
 
 
-def write_years(frame: DataFrame, root: str, rows_per_file: int = 2_000_000, keys: tuple[str, ...] = ("station", "valid"), mode: str = "overwrite") -> None:
+def write_years(frame: DataFrame, root: str, rows_per_file: int = 2_000_000, keys: tuple[str, ...] = ("station", "valid"), mode: str = "overwrite", files: int | None = None) -> None:
     """ZSTD Parquet by year, sorted by the keys within files; only the years at hand are replaced.
 
     Years are dealt by ranges of year and first key, about ``rows_per_file`` rows each, so that no task writes
     a whole large year; the time breaks ties, so that a station that holds most rows is dealt as well.
+    ``files``: how many in all; without it, the rows are counted first.
     """
     rows = frame.withColumn("year", F.year(keys[-1]))
-    n = max(1, -(-frame.count() // rows_per_file))
+    n = files or max(1, -(-frame.count() // rows_per_file))
     dealt = rows.repartitionByRange(n, "year", *keys)
     dealt.sortWithinPartitions("year", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(root)
 
@@ -48,6 +49,16 @@ def create_year(frame: DataFrame, root: str, year: int, keys: tuple[str, ...] =
     frame.where(F.year(keys[-1]) == year).repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("errorifexists").option("compression", "zstd").parquet(f"{root}/year={year}")
 
 
+def compact_year(spark: SparkSession, root: str, year: int, to: str, keys: tuple[str, ...] = ("station", "valid"), files: int = 1, block_bytes: int = 128 << 20) -> None:
+    """Write one year again as ``files`` files in the order of the keys, with row groups of ``block_bytes``.
+
+    One file means one task that sorts (and spills) the whole year; leave it at more for large years.
+    """
+    rows = spark.read.option("basePath", root).parquet(f"{root}/year={year}").drop("year")
+    dealt = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, *keys)
+    dealt.sortWithinPartitions(*keys).write.mode("errorifexists").option("compression", "zstd").option("parquet.block.size", block_bytes).parquet(to)
+
+
 def years_of(spark: SparkSession, root: str) -> list[int]:
     """The years that the dataset has."""
     place, files = path_and_files(spark, root)

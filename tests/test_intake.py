@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galefold import schema
-from galefold.operators import reconcile, sequences, spans
+from galefold.operators import frames, reconcile, sequences, spans
 from galefold.sources import geo, partitions, payloads, reports
 from galefold.streaming import upserts
 
@@ -141,3 +141,13 @@ def test_commit_gives_up_after_three_conflicts(spark):
     with pytest.raises(upserts.Conflict):
         upserts.published(lambda: (len(tries), base), publish, base, ["k"], ["v"])
     assert tries == [0, 1, 2]
+
+
+def test_small_upserts_equal_plain_ones(spark):
+    base = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "c", 3.0)], "k int, t string, v double")
+    fetched = spark.createDataFrame([(2, "b", 9.0), (2, "b", 8.0), (None, "c", 7.0), (4, "d", 6.0)], "k int, t string, v double")
+    want = [(None, "c", 7.0), (1, "a", 1.0), (2, "b", 9.0), (4, "d", 6.0)]
+    few = frames.upsert_few(base, fetched, ["k", "t"], [F.col("v").desc()])
+    assert sorted(few.collect(), key=repr) == sorted(want, key=repr) == sorted((tuple(r) for r in frames.upsert_few(base, fetched, ["k", "t"], [F.col("v").desc()], broadcast_rows=0).collect()), key=repr)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
