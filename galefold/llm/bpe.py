@@ -169,8 +169,10 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(strings), np.uint8)
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         # Every way to put a string of the vocabulary together from two others.
-        halves = [(x, y, i) for s, i in self.ranks.items() for k in range(1, len(s)) if (x := self.ranks.get(s[:k])) is not None and (y := self.ranks.get(s[k:])) is not None]
-        halves = np.array(sorted((x << 32 | y, i) for x, y, i in halves), np.int64).reshape(-1, 2)
+        ranks = self.ranks
+        found = ((x << 32 | y, i) for s, i in ranks.items() for k in range(1, len(s)) if (x := ranks.get(s[:k])) is not None and (y := ranks.get(s[k:])) is not None)
+        halves = np.fromiter((v for both in found for v in both), np.int64).reshape(-1, 2)
+        halves = halves[np.argsort(halves[:, 0], kind="stable")]
         self.pair_keys, self.pair_ranks = np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
         self._forget()
 
