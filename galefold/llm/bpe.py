@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galefold.llm.chars import BLOCK, points
-from galefold.llm.shared import runs, texts_of, type_of
+from galefold.llm.shared import release, runs, texts_of, type_of
 
 # The white space of Unicode, and the contractions of the pre-tokenisation rules.
 WHITE = (0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -331,7 +331,10 @@ def split(data: bytes, n: int, cuts: np.ndarray) -> list[bytes]:
 
 @cache
 def _loaded(file: bytes, classes: bytes) -> Vocabulary:
-    return Vocabulary(file, np.frombuffer(classes, np.uint8))
+    release()  # what the worker's earlier stages left
+    found = Vocabulary(file, np.frombuffer(classes, np.uint8))
+    release()
+    return found
 
 
 def _shipped(frame: DataFrame, path: str) -> Broadcast:
