@@ -37,15 +37,15 @@ MARK, STOP = "\ue000", "\ue001"
 UNITS = "mm cm m km in ft yd mi mg g kg t lb lbs oz ml l gal s sec min h hr hrs ms hz khz mhz ghz kb mb gb tb w kw v a k c f usd eur gbp dollars euros percent meters metres miles hours minutes seconds days weeks months years".split()
 NAME = r"(?<=[^.!?:\x09-\x0D ][ \t])(\p{Lu}\p{Ll}++)(?![\p{L}\p{M}])"
 NUMBER = rf"(\p{{N}}++(?:[.,]\p{{N}}++)*+)(?:( ?)({'|'.join(UNITS)})(?![\p{{L}}\p{{M}}\p{{N}}{MARK}]))?"
-TOKEN = rf"{MARK}[ndu][^{STOP}]+{STOP}|[\p{{L}}\p{{M}}]++"
+TOKEN = rf"{MARK}[!#%][^{STOP}]+{STOP}|[\p{{L}}\p{{M}}]++"
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased words; those of a placeholder as its mark, kind, value and an end sign."""
     plain = F.translate(text.cast("string"), MARK + STOP, "  ")
-    named = F.lower(F.regexp_replace(plain, NAME, f"{MARK}n$1{STOP}"))
+    named = F.lower(F.regexp_replace(plain, NAME, f"{MARK}!$1{STOP}"))
     # Without a unit the last group is empty, and what it leaves is no token.
-    counted = F.regexp_replace(named, NUMBER, f"{MARK}d$1{STOP}$2{MARK}u$3{STOP}")
+    counted = F.regexp_replace(named, NUMBER, f"{MARK}#$1{STOP}$2{MARK}%$3{STOP}")
     return F.regexp_extract_all(counted, F.lit(TOKEN), F.lit(0))
 
 
@@ -67,7 +67,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = items.select(F.col(id_col).alias("item_id"), tokens(F.col(text_col)).alias("own")).where(F.size("own") >= LEAST)
     # The first word as a name too.
     first = F.col("own")[0]
-    named = F.when(~is_slot(first), F.concat(F.array(F.concat(F.lit(f"{MARK}n"), first, F.lit(STOP))), F.slice("own", 2, F.size("own"))))
+    named = F.when(~is_slot(first), F.concat(F.array(F.concat(F.lit(f"{MARK}!"), first, F.lit(STOP))), F.slice("own", 2, F.size("own"))))
     rows = rows.select("item_id", F.posexplode(F.array("own", named)).alias("as_name", "own")).where("own IS NOT NULL")
     rows = rows.withColumn("size", F.least(F.size("own"), F.lit(WINDOW))).withColumn("item_n", F.size("own"))
     rows = rows.withColumn("item_at", F.explode(F.when(F.col("as_name") == 0, F.expr("sequence(1, item_n - size + 1)")).otherwise(F.array(F.lit(1)))))
@@ -100,7 +100,7 @@ def found_leaks(docs: DataFrame, items: DataFrame, percent: int, broadcast_windo
     pairs = F.filter(F.arrays_zip(F.col("item_values").alias("item"), F.slice("held", F.lit(1), F.col("size")).alias("doc")), lambda p: p["item"].isNotNull())
     met = met.select("doc_id", "text_hash", "item_id", "item_n", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), "size", pairs.alias("pairs"))
     aligned = met.groupBy("doc_id", "text_hash", "item_id", "item_n", "shift", "size").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    names = F.filter("pairs", lambda p: p["item"].startswith(f"{MARK}n"))
+    names = F.filter("pairs", lambda p: p["item"].startswith(f"{MARK}!"))
     single = lambda pairs, side: F.size(F.array_distinct(F.transform(pairs, lambda p: p[side]))) == F.size(pairs)
     consistent = aligned.where(single(F.col("pairs"), "item") & single(names, "doc"))
     token = F.explode(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + F.col("size") - 1)))))
@@ -150,11 +150,11 @@ def decontaminated(
 def oracle_sql() -> str:
     """The same in DuckDB's SQL, with the windows themselves as join keys."""
     space = r"[^.!?:\x09-\x0D ][ \t]"
-    name = rf"'({space})(\p{{Lu}}\p{{Ll}}+)($|[^\p{{L}}\p{{M}}])', '\1{MARK}n\2{STOP}\3', 'g'"
+    name = rf"'({space})(\p{{Lu}}\p{{Ll}}+)($|[^\p{{L}}\p{{M}}])', '\1{MARK}!\2{STOP}\3', 'g'"
     canon = f"lower(regexp_replace(regexp_replace(translate(text, '{MARK}{STOP}', '  '), {name}), {name}))"
     unit = rf"(?:( ?)({'|'.join(UNITS)})($|[^\p{{L}}\p{{M}}\p{{N}}{MARK}]))?"
-    canon = rf"regexp_replace({canon}, '(\p{{N}}+(?:[.,]\p{{N}}+)*){unit}', '{MARK}d\1{STOP}\2{MARK}u\3{STOP}\4', 'g')"
-    tokens = rf"regexp_extract_all({canon}, '{MARK}[ndu][^{STOP}]+{STOP}|[\p{{L}}\p{{M}}]+')"
+    canon = rf"regexp_replace({canon}, '(\p{{N}}+(?:[.,]\p{{N}}+)*){unit}', '{MARK}#\1{STOP}\2{MARK}%\3{STOP}\4', 'g')"
+    tokens = rf"regexp_extract_all({canon}, '{MARK}[!#%][^{STOP}]+{STOP}|[\p{{L}}\p{{M}}]+')"
     slot = f"starts_with(t, '{MARK}')"
     shape = f"list_transform(held, lambda t: CASE WHEN {slot} THEN left(t, 2) ELSE t END)"
     kind = f"CASE WHEN len(list_filter(held, lambda t: NOT {slot})) < {LITERALS} THEN '=' || array_to_string(held, ' ') ELSE array_to_string({shape}, ' ') END"
@@ -163,7 +163,7 @@ WITH d AS (SELECT DISTINCT doc_id, text, {tokens} AS own FROM documents WHERE te
 b0 AS (SELECT item_id, {tokens} AS own FROM benchmark WHERE text IS NOT NULL),
 b AS (SELECT item_id, own, len(own) AS item_n, least(len(own), {WINDOW}) AS size FROM b0 WHERE len(own) >= {LEAST}),
 bp AS (SELECT item_id, item_n, size, item_at, own[item_at:item_at + size - 1] AS held FROM (SELECT *, unnest(range(1, item_n - size + 2)) AS item_at FROM b)
-  UNION ALL SELECT item_id, item_n, size, 1, list_prepend('{MARK}n' || own[1] || '{STOP}', own[2:size]) FROM b WHERE NOT starts_with(own[1], '{MARK}')),
+  UNION ALL SELECT item_id, item_n, size, 1, list_prepend('{MARK}!' || own[1] || '{STOP}', own[2:size]) FROM b WHERE NOT starts_with(own[1], '{MARK}')),
 bk AS (SELECT *, {kind} AS key FROM bp),
 dp AS (SELECT doc_id, text, size, own, unnest(range(1, len(own) - size + 2)) AS pos FROM d, (SELECT DISTINCT size FROM bk) WHERE len(own) >= size),
 dw AS (SELECT doc_id, text, size, pos, own[pos:pos + size - 1] AS held FROM dp),
@@ -173,7 +173,7 @@ s AS (SELECT *, unnest(range(1, size + 1)) AS o FROM m),
 p AS (SELECT DISTINCT doc_id, text, item_id, item_n, size, shift, item_at + o - 1 AS token, CASE WHEN starts_with(item_held[o], '{MARK}') THEN item_held[o] END AS iv, CASE WHEN starts_with(item_held[o], '{MARK}') THEN doc_held[o] END AS dv FROM s),
 v AS (SELECT DISTINCT doc_id, text, item_id, item_n, size, shift, iv, dv FROM p),
 ok AS (SELECT doc_id, text, item_id, item_n, size, shift, coalesce(bool_and(iv = dv), true) AS same FROM v GROUP BY ALL
-  HAVING count(DISTINCT iv) = count(iv) AND count(DISTINCT dv) FILTER (starts_with(iv, '{MARK}n')) = count(dv) FILTER (starts_with(iv, '{MARK}n')))
+  HAVING count(DISTINCT iv) = count(iv) AND count(DISTINCT dv) FILTER (starts_with(iv, '{MARK}!')) = count(dv) FILTER (starts_with(iv, '{MARK}!')))
 SELECT DISTINCT doc_id, item_id, item_tokens, covered_tokens, kind FROM (
 SELECT p.doc_id, p.text, p.item_id, CAST(p.item_n AS BIGINT) AS item_tokens, count(DISTINCT p.token) AS covered_tokens, CASE WHEN bool_and(ok.same) THEN 'verbatim' ELSE 'reparameterised' END AS kind
 FROM p JOIN ok USING (doc_id, text, item_id, item_n, size, shift) GROUP BY p.doc_id, p.text, p.item_id, p.item_n HAVING 100 * count(DISTINCT p.token) >= 60 * p.item_n)
