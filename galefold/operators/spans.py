@@ -33,10 +33,13 @@ def merged(spans: list[tuple[datetime, datetime]]) -> list[tuple[datetime, datet
 
 
 def merged_rows(spans: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """The same for a table of windows."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
+    """The same for a table of windows. Ones without a start come last and stay apart, as nothing is known to overlap them.
+
+    Equal windows are one, in whatever order they come: both frames are cut from one sort.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(start), F.asc_nulls_last(end))
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = spans.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1)).withColumn("_n", F.sum("_new").over(w))
+    flagged = spans.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1)).withColumn("_n", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return flagged.groupBy(*keys, "_n").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_n")
 
 

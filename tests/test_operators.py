@@ -169,3 +169,20 @@ def test_station_identity(spark):
     frame = spark.sql("SELECT * FROM VALUES ('7', 'MSC', 'ADN', null), ('', 'MSC', 'ADN', '9'), (null, 'MSC', ' ', '9'), (null, 'MSC', null, null), (null, null, 'ADN', null) AS v(m, p, t, s)")
     got = [r[0] for r in frame.select(reconcile.station_identity(*[F.col(c) for c in "mpts"])).collect()]
     assert got == ["msc_id:7", "MSC:tc_id:ADN", "MSC:stn_id:9", None, None]
+
+
+def test_merged_windows_of_null_and_equal_dates(spark, tmp_path):
+    """Windows without a start stay apart as in the SQL, open ends come last, equal windows are one."""
+    import duckdb
+
+    from galefold.plans import catalog
+
+    day = lambda n: datetime(2026, 1, n) if n else None
+    orders = [(1, None), (1, None), (1, day(3)), (None, day(3)), (None, None), (2, None), (3, day(1)), (3, day(9)), (4, None), (4, day(2)), (4, None)]
+    spark.createDataFrame(orders, "o_custkey bigint, o_orderdate timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    got = rows(catalog.queries()["window_merge"](spark, str(tmp_path)).select("o_custkey", "start", "end"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    assert got == sorted(con.sql(catalog.oracle_sql()["window_merge"]).select("o_custkey, start, \"end\"").fetchall(), key=repr) and len(got) == 10
+    known = [(1, 5, 9), (1, 5, 9), (1, 1, 3), (1, 5, 9), (1, 20, None), (1, 20, 22), (1, 22, 23), (1, None, 4)]
+    assert rows(spans.merged_rows(spark.createDataFrame(known, "k int, start int, end int"), ["k"])) == [(1, 1, 3), (1, 20, 23), (1, 5, 9), (1, None, 4)]
