@@ -5,8 +5,8 @@ Training counts the 1- to 3-grams of letters (other characters become one blank)
 ``MATRIX_BYTES``, since the number of buckets halves until all languages fit. Scoring treats a batch as
 sparse rows: bucket ids of all n-grams in document order, gathered per language and summed by document.
 
-At most about ``train_docs`` texts a language are read for training, chosen by a hash of their id; the
-bound is a parameter and concerns the fit alone. Texts are used whole and every row is predicted.
+Training counts every labelled text that isn't held out, whole, and every row is predicted: what stays is a
+bounded number of counts, so more texts need no more memory.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0, and so is every text if nothing
 could be learnt. Languages that tie go to the first in alphabetical order. Rows with a null language
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galefold.llm.chars import blocks, letters, points, sums
-from galefold.llm.shared import texts_of, type_of
+from galefold.llm.shared import text_slices, type_of
 
 ORDERS = (1, 2, 3)
 MATRIX_BYTES = 64 << 20
@@ -77,46 +77,37 @@ def grams(pieces: list[str], buckets: int) -> tuple[list[np.ndarray], np.ndarray
     return out, new_starts, n_letters
 
 
-def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, train_docs: int = 20_000, alpha: float = 0.5) -> Model:
-    """Learn from the rows of ``labelled`` that have a text, a language and an id."""
+def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, alpha: float = 0.5) -> Model:
+    """Learn from all rows of ``labelled`` that have a text, a language and an id."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("id IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    languages = sorted(sizes)
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros((0, 1)))
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"{lang_col} has {len(languages)} values; at most {MOST_LANGUAGES} can be told apart")
     buckets = buckets_for(len(languages))
-    share = {x: min(1.0, train_docs / n) for x, n in sizes.items()}
-    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
     code = {x: i for i, x in enumerate(languages)}
 
-    def chosen() -> Column:
-        parts = [(F.col("lang") == x) & (draw < share[x]) for x in languages if share[x] < 1]
-        full = F.col("lang").isin([x for x in languages if share[x] >= 1])
-        for p in parts:
-            full = full | p
-        return full
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            texts, langs = [x or "" for x in texts_of(batch.column(0))], batch.column(1).to_pylist()
-            for at, pieces, _ in blocks(texts):
-                ids, starts, _ = grams(pieces, buckets)
-                spans = np.diff(np.append(starts, len(ids[0])))
-                owner = np.repeat(np.array([code[langs[i]] for i in at]), spans)
-                for k in np.unique(owner):
-                    mine = owner == k
-                    own = total.setdefault(int(k), np.zeros(buckets + 1, np.int64))
-                    for x in ids:
-                        own += np.bincount(x[mine], minlength=buckets + 1)
+            langs = batch.column(1).to_pylist()
+            for lo, texts in text_slices(batch.column(0)):
+                for at, pieces, _ in blocks([x or "" for x in texts]):
+                    ids, starts, _ = grams(pieces, buckets)
+                    spans = np.diff(np.append(starts, len(ids[0])))
+                    owner = np.repeat(np.array([code[langs[lo + i]] for i in at]), spans)
+                    for k in np.unique(owner):
+                        mine = owner == k
+                        own = total.setdefault(int(k), np.zeros(buckets + 1, np.int64))
+                        for x in ids:
+                            own += np.bincount(x[mine], minlength=buckets + 1)
         for k, own in total.items():
             found = np.flatnonzero(own[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k, np.int32)), pa.array(found.astype(np.int32)), pa.array(own[found])], names=["lang", "bucket", "n"])
 
-    counted = rows.where(chosen()).select("text", "lang").mapInArrow(count, "lang int, bucket int, n bigint")
+    counted = rows.select("text", "lang").mapInArrow(count, "lang int, bucket int, n bigint")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((len(languages), buckets))
     counts[table["lang"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
@@ -139,11 +130,12 @@ def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[str], nam
         labels = np.array([*model.languages, UNKNOWN], object)
         wide = model.log_p.shape[1] - 1
         for batch in batches:
-            texts = [x or "" for x in texts_of(batch.column(at_text))]
-            total = np.zeros((len(model.languages), len(texts)))
-            seen, n_grams = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-            if model.languages:
-                for at, pieces, _ in blocks(texts):
+            n = batch.num_rows
+            total = np.zeros((len(model.languages), n))
+            seen, n_grams = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for lo, texts in text_slices(batch.column(at_text)) if model.languages else ():
+                for of_slice, pieces, _ in blocks([x or "" for x in texts]):
+                    at = lo + np.array(of_slice)
                     ids, starts, n_letters = grams(pieces, wide)
                     seen[at] += n_letters
                     if fit:
@@ -152,9 +144,9 @@ def predicted(docs: DataFrame, model: Model, text_col: str, keep: list[str], nam
                     for k, row in enumerate(model.log_p):
                         for x in ids:
                             total[k, at] += sums(row[x], starts)
-            best = np.full(len(texts), len(model.languages))
-            sure, mean = np.zeros(len(texts)), np.full(len(texts), np.nan)
-            if model.languages and texts:
+            best = np.full(n, len(model.languages))
+            sure, mean = np.zeros(n), np.full(n, np.nan)
+            if model.languages and n:
                 known = n_grams > 0
                 mean[known] = total.max(0)[known] / n_grams[known]
                 # The orders tell of the same letters, so their evidence counts once.
@@ -182,19 +174,13 @@ def identify(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_
     return predicted(docs, model, text_col, keep or [id_col])
 
 
-def ranges(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str, sample: int = 20_000) -> list[tuple[str, float, float]]:
-    """(language, least mean log-probability of its texts, spread of a single n-gram), from about ``sample`` labelled held-out texts a language.
+def ranges(docs: DataFrame, model: Model, text_col: str, lang_col: str, id_col: str) -> list[tuple[str, float, float]]:
+    """(language, least mean log-probability of its texts, spread of a single n-gram), from all labelled texts that training never saw.
 
     The least is the texts' median less one spread: junk in a language stays in it, another language or noise
     lies lower. A language with under 8 such texts takes the mean of its own n-grams for the median.
     """
-    rows = docs.where(held_out(id_col)).where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    share = F.lit(1.0)
-    for x, n in sizes.items():
-        if n > sample:
-            share = F.when(F.col("lang") == x, sample / n).otherwise(share)
-    rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
+    rows = docs.where(held_out(id_col)).where(F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     own = predicted(rows, model, "text", ["lang"], ("pred", "score"), ("mean", "letters")).where("lang = pred AND mean IS NOT NULL")
     bins = own.groupBy("lang", F.floor(F.col("mean") / 0.01).cast("int").alias("bin")).count()
     held: dict[str, list[tuple[int, int]]] = {}

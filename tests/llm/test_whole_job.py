@@ -59,6 +59,25 @@ def test_languages_never_learnt_are_rejected(spark):
     assert stays == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
 
 
+def test_languages_are_learnt_from_every_row(spark):
+    """150,000 texts of one language teach, 50,000 held-out ones give its least mean, and none of either is left out."""
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))  # what a sample once went by
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(draw < 400_000, "abba abba").when(draw < 999_000, "baobab cab").otherwise("quiz").alias("text"), F.lit("xx").alias("lang"))
+    texts = {r["text"]: (r["learnt"], r["held"]) for r in docs.groupBy("text").agg(F.count_if(~langid.held_out()).alias("learnt"), F.count_if(langid.held_out()).alias("held")).collect()}
+    model = langid.fit(docs.where(~langid.held_out()), "text", "lang", "doc_id")
+    wide, counts = model.log_p.shape[1] - 1, np.zeros(model.log_p.shape[1])
+    for text, (n, _) in texts.items():
+        for ids in langid.grams([text], wide)[0]:
+            np.add.at(counts, ids, n)
+    want = np.log((counts[:-1] + 0.5) / (counts[:-1].sum() + 0.5 * wide))
+    assert np.allclose(model.log_p[0, :-1], want)
+    means = sorted((float(np.mean([want[x] for ids in langid.grams([t], wide)[0] for x in ids if x != wide])), n) for t, (_, n) in texts.items())
+    upto = np.cumsum([n for _, n in means])
+    median = means[int(np.searchsorted(upto, upto[-1] / 2))][0]
+    ((_, low, deviation),) = langid.ranges(docs, model, "text", "lang", "doc_id")
+    assert low + deviation == pytest.approx(median, abs=0.011)
+
+
 LONG = "<p>" + "long, text " * 30 + "</p>"
 
 
