@@ -32,8 +32,8 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galefold.llm.chars import BLOCK, points
-from galefold.llm.shared import release, runs, texts_of, type_of
+from galefold.llm.chars import BLOCK, GROUP, points
+from galefold.llm.shared import release, runs, text_slices, type_of
 
 # The white space of Unicode, and the contractions of the pre-tokenisation rules.
 WHITE = (0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -281,7 +281,7 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
         ids, counts = [], np.zeros(len(texts), np.int64)
-        for lo, hi in runs([len(t) for t in texts], BLOCK):
+        for lo, hi in runs([len(t) for t in texts], GROUP):
             if hi - lo == 1 and len(texts[lo]) > BLOCK:
                 for pieces in self._long_pieces(texts[lo]):
                     found, _ = self._ids(pieces)
@@ -349,9 +349,9 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 
 def _encoded(vocabulary: Vocabulary, batch: pa.RecordBatch, decode: bool) -> Iterator[pa.RecordBatch]:
-    texts = [x or "" for x in texts_of(batch.column(batch.num_columns - 1))]
-    for lo, hi in runs([len(t) for t in texts], 2 * BLOCK):
-        ids, counts = vocabulary.encode(texts[lo:hi])
+    for lo, texts in text_slices(batch.column(batch.num_columns - 1), BLOCK):
+        hi = lo + len(texts)
+        ids, counts = vocabulary.encode([x or "" for x in texts])
         after = np.append(0, np.cumsum(vocabulary.lengths[ids]))
         starts, byte_at = after[:-1], after[np.append(0, np.cumsum(counts))]
         offsets = (starts - np.repeat(byte_at[:-1], counts)).astype(np.int32)
