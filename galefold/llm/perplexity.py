@@ -8,10 +8,12 @@ discounts a language and order come from the counts of counts. The finished mode
 arrays: 63-bit keys of language and n-gram (a perfect hash, so no two n-grams share one), with their
 log-probabilities, or, for contexts, their back-off weights. An n-gram that isn't there always backs off.
 
-Size: an order keeps at most ``ENTRIES`` n-grams, so the seven arrays have 12 bytes for each of 7 * 2**21
-entries at most (176 MB) whatever the corpus, and may be broadcast. Beyond that, the n-grams of a language
-below a count are pruned, the least seen first: ``thresholds`` shares the entries out by language, languages
-with few n-grams keep all. The probability of what is pruned goes to the back-off of its context.
+Size: an order keeps at most ``ENTRIES`` n-grams in arrays, so the seven arrays have 12 bytes for each of
+7 * 2**21 entries at most (176 MB) whatever the corpus, and may be broadcast. ``thresholds`` shares the entries
+out by language, the most seen first; languages with few n-grams keep all. Where some don't fit, ``Whole`` has
+every n-gram in tables: the 4-grams at hand are scored from an array with their exact probabilities, all others
+by joins, so scores never depend on ``ENTRIES``. (The arrays alone are a model too: there the probability of
+what they leave out goes to the back-off of its context. Scores don't use it then.)
 
 A text's score is its mean negative log-probability a character. Fences of each language come from the
 exact histogram of the scores of the reference texts: the quartiles, moved out by ``spread`` interquartile
@@ -163,12 +165,33 @@ class Table:
         return out
 
 
+@dataclass
+class Whole:
+    """All n-grams by order in tables (key, p), their contexts (ctx, g), and the log-probabilities of the 4-grams at hand."""
+
+    top: Table
+    grams: dict[int, DataFrame]
+    weights: dict[int, DataFrame]
+    scratch: Scratch
+
+    def probabilities(self, keys: DataFrame, order: int = ORDER) -> DataFrame:
+        """(key, p) of distinct n-grams of an order; a key of any join here has 4096 rows at most."""
+        if not order:
+            return keys.select("key", F.lit(2.0**-SYMBOL).alias("p"))
+        seen = self.scratch.keep(keys.join(self.grams[order], "key", "left"))
+        rest = seen.where("p IS NULL").select("key", context(F.col("key"), order).alias("ctx"), shortened(F.col("key"), order - 1).alias("short"))
+        lower = self.probabilities(rest.select(F.col("short").alias("key")).distinct(), order - 1).select(F.col("key").alias("short"), "p")
+        backed = rest.join(self.weights[order], "ctx", "left").join(lower, "short").select("key", (F.coalesce("g", F.lit(1.0)) * F.col("p")).alias("p"))
+        return seen.where("p IS NOT NULL").union(backed)
+
+
 @dataclass
 class Model:
-    """By order: log-probabilities of n-grams, and back-off weights of their contexts."""
+    """By order: log-probabilities of n-grams, and back-off weights of their contexts; ``whole`` if these aren't all."""
 
     grams: dict[int, Table]
     weights: dict[int, Table]
+    whole: Whole | None = None
 
     def log_p(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Log-probability of the last symbol of each key; n-grams that aren't kept back off."""
@@ -214,11 +237,12 @@ def trained(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ent
     for k in range(ORDER - 1, 0, -1):
         grams[k] = scratch.keep(grams[k + 1].groupBy(shortened(F.col("key"), k).alias("key")).agg(F.count("*").alias("c")))
     lang = F.shiftright("key", SYMBOL * ORDER).cast("int")
-    model = Model({}, {})
+    model, every, complete = Model({}, {}), {}, True
     for k in range(1, ORDER + 1):
         power = F.floor(F.log2("c")).cast("int")
         tallies = grams[k].groupBy(lang.alias("lang"), power.alias("power")).agg(F.count("*").alias("n"), *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect()  # 18,279 languages by 63 at most
         least = thresholds([(r["lang"], r["power"], r["n"]) for r in tallies], entries)
+        complete = complete and all(x == 1 for x in least.values())
         counts = {x: [0, 0, 0, 0] for x in least}
         for r in tallies:
             counts[r["lang"]] = [a + r[f"n{i}"] for i, a in enumerate(counts[r["lang"]], 1)]
@@ -228,6 +252,7 @@ def trained(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ent
         taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         stays = F.col("c") >= F.col("least")
         own = own.select("key", "c", context(F.col("key"), k).alias("ctx"), (F.col("c") - taken).alias("rest"), stays.alias("stays"))
+        every[k] = own
         # What the kept n-grams of a context leave of its mass, discounts and pruned ones together, is its weight.
         around = own.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum(F.when(F.col("stays"), F.col("rest"))).alias("held")).where("held IS NOT NULL")
         around = scratch.keep(around.select("ctx", "total", (1 - F.col("held") / F.col("total")).alias("g")))
@@ -237,10 +262,28 @@ def trained(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ent
         keys = kept["key"].to_numpy().view(np.uint64)
         lower = np.concatenate([np.exp(model.log_p(keys[i : i + (1 << 20)], k - 1)) for i in range(0, len(keys), 1 << 20)] or [np.empty(0)])
         model.grams[k] = Table(keys, np.log(kept["share"].to_numpy() + kept["g"].to_numpy() * lower))
+    if not complete:
+        model.whole = whole(every)
     scratch.drop()
     return model
 
 
+def whole(every: dict[int, DataFrame]) -> Whole:
+    """Exact probabilities of the n-grams ``every`` order has (key, c, ctx, rest, stays)."""
+    scratch = Scratch(every[1].sparkSession, "whole")
+    grams: dict[int, DataFrame] = {}
+    weights: dict[int, DataFrame] = {}
+    for k in range(1, ORDER + 1):
+        around = scratch.keep(every[k].groupBy("ctx").agg(F.sum("c").alias("total"), (1 - F.sum("rest") / F.sum("c")).alias("g")))
+        own = every[k].join(around, "ctx").select("key", "stays", (F.col("rest") / F.col("total")).alias("share"), "g", shortened(F.col("key"), k - 1).alias("short"))
+        lower = grams[k - 1].select(F.col("key").alias("short"), F.col("p").alias("lower")) if k > 1 else None
+        own = own.join(lower, "short") if k > 1 else own.withColumn("lower", F.lit(2.0**-SYMBOL))
+        found = scratch.keep(own.select("key", (F.col("share") + F.col("g") * F.col("lower")).alias("p"), "stays"))
+        grams[k], weights[k] = found.select("key", "p"), around.select("ctx", "g")
+    top = found.where("stays").select("key", F.log("p").alias("p")).toArrow()  # ``entries`` rows at most
+    return Whole(Table(top["key"].to_numpy().view(np.uint64), top["p"].to_numpy()), grams, weights, scratch)
+
+
 def repeat_words(words: list[bytes]) -> int:
     """Words that lie in 3-word windows found twice or more."""
     if len(words) < 4:
@@ -300,25 +343,78 @@ def mean_costs(model: Model, texts: list[str], langs: np.ndarray) -> np.ndarray:
         return np.where(n > 0, total / np.maximum(n, 1), np.nan)
 
 
+def partly(top: Table, texts: list[str], langs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[pa.Array]]:
+    """Of each text: the costs of its 4-grams in ``top``, its characters, and lists of its other 4-grams and how often each occurs."""
+    total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    owners, others = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for at, pieces, _ in blocks(texts):
+        keys, starts = gram_keys(pieces, langs[at])
+        held = np.diff(np.append(starts, len(keys)))
+        costs = top.found(keys)
+        absent = np.isnan(costs)
+        total[at] -= sums(np.where(absent, 0.0, costs), starts)
+        n[at] += held
+        owners.append(np.repeat(np.array(at, np.int64), held)[absent])
+        others.append(keys[absent])
+    owner, other = np.concatenate(owners), np.concatenate(others)
+    order = np.lexsort((other, owner))
+    owner, other = owner[order], other[order]
+    first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (other[1:] != other[:-1]))[: len(owner)])
+    offsets = pa.array(np.searchsorted(owner[first], np.arange(len(texts) + 1)).astype(np.int32))
+    times = np.diff(np.append(first, len(owner)))
+    return total, n, [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (other[first].view(np.int64), times)]
+
+
+def completed(scores: DataFrame, of: Whole, cost: str) -> DataFrame:
+    """``scores`` with the mean cost in ``cost``, where so far is the sum for the 4-grams at hand; the others join their probabilities."""
+    scores = of.scratch.keep(scores.withColumn("__gf_row", F.monotonically_increasing_id()))
+    asked = scores.select("__gf_row", F.explode(F.arrays_zip("__gf_keys", "__gf_times")).alias("x")).select("__gf_row", F.col("x.__gf_keys").alias("key"), F.col("x.__gf_times").alias("times"))
+    costs = of.scratch.keep(of.probabilities(asked.select("key").distinct()))
+    more = asked.join(costs, "key").groupBy("__gf_row").agg(F.sum(-F.log("p") * F.col("times")).alias("__gf_more"))
+    mean = F.when(F.col("__gf_n") > 0, (F.col(cost) + F.coalesce("__gf_more", F.lit(0.0))) / F.col("__gf_n"))
+    return scores.join(more, "__gf_row", "left").withColumn(cost, mean).drop("__gf_row", "__gf_more", "__gf_n", "__gf_keys", "__gf_times")
+
+
 def scored(docs: DataFrame, model: Model, text_col: str, lang_col: str, keep: list[str], mark: str = "") -> DataFrame:
     """The columns ``keep`` of each row, and lang_code, the features, log_ppl, with ``mark`` before their names."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    of = model.whole
+    shared = docs.sparkSession.sparkContext.broadcast(of.top if of else model)
+    partial = of is not None
     names = [mark + x.split()[0] for x in ("lang_code int", *FEATURES.split(", "))]
+    more = ["__gf_n", "__gf_keys", "__gf_times"] if partial else []
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, rows, costs = batch.column(len(keep)).to_numpy(), [], [np.empty(0)]
+            langs, rows, costs, lists = batch.column(len(keep)).to_numpy(), [], [np.empty(0)], []
             for lo, texts in text_slices(batch.column(len(keep) + 1)):
                 rows += [features(x) for x in texts]
-                costs.append(mean_costs(shared.value, [x or "" for x in texts], langs[lo : lo + len(texts)]))
+                own = [x or "" for x in texts], langs[lo : lo + len(texts)]
+                if partial:
+                    total, n, pairs = partly(shared.value, *own)
+                    costs.append(total)
+                    lists.append([pa.array(n), *pairs])
+                else:
+                    costs.append(mean_costs(shared.value, *own))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = [pa.int64()] * 5 + [pa.bool_()]
             found = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)] + [pa.array(np.concatenate(costs), pa.float64(), from_pandas=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep) + 1], *found], names=[*batch.schema.names[: len(keep)], *names])
+            if partial:
+                found += [pa.concat_arrays(x) for x in zip(*lists, strict=True)] or [pa.array([], k) for k in (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep) + 1], *found], names=[*batch.schema.names[: len(keep)], *names, *more])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], language(F.col(lang_col)).alias("__gf_lang"), F.col(text_col).cast("string").alias("__gf_text"))
     kinds = ", ".join([f"`{c}` {type_of(docs, c)}" for c in keep] + [f"`{n}` {k}" for n, k in zip(names, ("int", *[x.split()[1] for x in FEATURES.split(", ")]), strict=True)])
-    return rows.mapInArrow(score, kinds)
+    if of is None:
+        return rows.mapInArrow(score, kinds)
+    return completed(rows.mapInArrow(score, kinds + ", __gf_n bigint, __gf_keys array<bigint>, __gf_times array<bigint>"), of, f"{mark}log_ppl")
+
+
+def written(scores: DataFrame, model: Model) -> DataFrame:
+    """``scores`` as written to the shared folder; the tables of ``model`` go."""
+    out = Scratch(scores.sparkSession, "scored").keep(scores)
+    if model.whole:
+        model.whole.scratch.drop()
+    return out
 
 
 def fences(scores: DataFrame, spread: float = 3.0) -> dict[int, tuple[float, float]]:
@@ -351,7 +447,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """Per row: doc_id, the features, log_ppl, kept."""
     model = trained(docs, text_col, lang_col, chosen=reference)
     scores = scored(docs, model, text_col, lang_col, [id_col]).withColumnRenamed(id_col, "doc_id")
-    return bounded(Scratch(docs.sparkSession, "scores").keep(scores)).drop("lang_code")
+    return bounded(written(scores, model)).drop("lang_code")
 
 
 def base_sql() -> str:
@@ -375,7 +471,8 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FRO
 
 
 def passed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that pass; they are written once with their scores, so no text is scored twice or shuffled."""
+    """The rows of ``docs`` that pass; they are written once with their scores, so no text is scored twice, or shuffled while the model fits into its arrays."""
     mark = "__gf_"
-    scores = scored(docs, trained(docs, text_col, lang_col, chosen=reference), text_col, lang_col, docs.columns, mark)
-    return bounded(Scratch(docs.sparkSession, "scored").keep(scores), mark).where(f"`{mark}kept`").select(*[F.col(f"`{c}`") for c in docs.columns])
+    model = trained(docs, text_col, lang_col, chosen=reference)
+    scores = scored(docs, model, text_col, lang_col, docs.columns, mark)
+    return bounded(written(scores, model), mark).where(f"`{mark}kept`").select(*[F.col(f"`{c}`") for c in docs.columns])
