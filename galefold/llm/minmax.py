@@ -18,7 +18,10 @@ joins rows of different permutations, which keeps its rows independent even for
   only those that can still reach the share from there on: pages that merely share their boilerplate don't.
   Shingles with the same documents are one. Neighbours by size are compared first, for a few rounds.
 * Each link is confirmed on the full shingle sets (tuples of words, not hashes).
-* Components come from contraction: each round every document adopts the smallest label near it.
+* Components come from contraction: each round every document adopts the smallest label near it, until so few
+  edges are left that the driver can join them.
+* Tables that can't have more than ``FEW_ROWS`` rows, by a count of what they are made from, stay with the driver:
+  every table that is written costs a file a partition. Larger ones are written.
 
 Edge cases: a null or wordless text has an empty set, 0 shingles and no links; fewer words than the
 shingle length make one shingle of the whole sequence. A null id has the component of its equals, or
@@ -38,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from galefold.llm import shared as limits
 from galefold.llm.shared import Scratch, texts_of, type_of
 
 #: So many ids at most are broadcast to the scan of the texts; of more, a filter is.
@@ -285,30 +289,32 @@ def meetings(tokens: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     one there, stays out.
     """
     keyed = scratch.keep(tokens)
+    n_keyed = keyed.count()
     crossed = lambda rows, *by: rows.groupBy(*by).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("size").alias("least")).where("low < high")
     met = keyed.groupBy("group", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("turn").alias("turn"), F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in (1, 2)])
     # Shingles with the same documents are one: the first of them.
     unsigned = F.col("token").bitwiseXOR(F.lit(-(1 << 63)))
-    firsts = scratch.keep(met.where("low < high").groupBy("group", "n", "x1", "x2").agg(F.min_by("token", F.struct("turn", unsigned)).alias("token")).select("group", "token"))
+    firsts = scratch.keep(met.where("low < high").groupBy("group", "n", "x1", "x2").agg(F.min_by("token", F.struct("turn", unsigned)).alias("token")).select("group", "token"), n_keyed)
     # A little wider than the share, so that rounding never puts two such sizes further apart.
     cell = F.floor(F.log(F.col("size").cast("double")) / F.lit(max(math.log(100 / percent), 1e-6) * (1 + 1e-6)))
     dealt = keyed.join(firsts, ["group", "token"]).withColumn("cell", cell).withColumn("place", F.explode(F.array("cell", F.col("cell") + 1)))
-    dealt = scratch.keep(dealt.select(F.xxhash64("group", "token", "place").alias("meeting"), "rep", "comp", "size", "after", (F.col("place") == F.col("cell")).alias("home")))
-    able = dealt.join(scratch.keep(crossed(dealt, "meeting")), "meeting").where(F.col("after") * (100 + percent) >= percent * (F.col("size") + F.col("least")))
-    able = scratch.keep(able.drop("low", "high", "least"))
-    return scratch.keep(able.join(scratch.keep(crossed(able, "meeting").select("meeting")), "meeting"))
+    dealt = scratch.keep(dealt.select(F.xxhash64("group", "token", "place").alias("meeting"), "rep", "comp", "size", "after", (F.col("place") == F.col("cell")).alias("home")), 2 * n_keyed)
+    n_dealt = dealt.count()
+    able = dealt.join(scratch.keep(crossed(dealt, "meeting"), n_dealt), "meeting").where(F.col("after") * (100 + percent) >= percent * (F.col("size") + F.col("least")))
+    able = scratch.keep(able.drop("low", "high", "least"), n_dealt)
+    return scratch.keep(able.join(scratch.keep(crossed(able, "meeting").select("meeting"), n_dealt), "meeting"), n_dealt)
 
 
-def neighbours(dealt: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) for each document the one of another component that it is next to, by size, in most meetings."""
+def neighbours(dealt: DataFrame, rows: int, scratch: Scratch) -> DataFrame:
+    """(a, b) for each document the one of another component that it is next to, by size, in most meetings; ``rows``: how many ``dealt`` has."""
     sizes = dealt.groupBy("meeting").agg(F.ceil(F.count("*") / NEIGHBOURS).cast("int").alias("blocks"))
-    placed = dealt.join(scratch.keep(sizes), "meeting").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = dealt.join(scratch.keep(sizes, rows), "meeting").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     w = Window.partitionBy("meeting", "block").orderBy("size", "rep")
     beside = placed.select("rep", "comp", F.lag("rep").over(w).alias("other"), F.lag("comp").over(w).alias("its")).where("comp <> its")
     pairs = beside.groupBy(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).agg(F.count("*").alias("n"))
-    ends = scratch.keep(pairs).select(F.explode(F.array("a", "b")).alias("rep"), "a", "b", "n")
+    ends = scratch.keep(pairs, rows).select(F.explode(F.array("a", "b")).alias("rep"), "a", "b", "n")
     best = ends.groupBy("rep").agg(F.max(F.struct("n", "a", "b")).alias("p")).select("p.a", "p.b")
-    return scratch.keep(best.distinct())
+    return scratch.keep(best.distinct(), rows)
 
 
 def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -318,9 +324,10 @@ def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int
     the cost of a text a document. Where components meet, the documents outside of the largest one are the
     queries, and meet all the others.
     """
-    kind = type_of(texts, "doc_id")
+    kind, n_members = type_of(texts, "doc_id"), members.count()
     several = members.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("held")).where("low < high").select("group", "held")
-    contested = scratch.keep(members.join(scratch.keep(several), "group"))
+    contested = scratch.keep(members.join(scratch.keep(several, n_members), "group"), n_members)
+    n_dealt = contested.count()
     sets = scratch.keep(hashed_sets(contested.select("rep").distinct(), texts, words))
     # ``after`` is null where a set is compared whole.
     dealt = contested.where(F.col("held") <= LARGE).select(F.xxhash64("group").alias("meeting"), "rep", "comp", F.lit(None).cast("bigint").alias("after"), F.lit(True).alias("home"))
@@ -328,25 +335,27 @@ def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int
     large = contested.where(F.col("held") > LARGE).drop("held")
     if not large.isEmpty():
         apart = meetings(prefixes(scratch.keep(large.join(sets, "rep")), percent), percent, scratch)
+        n_apart = apart.count()
         for _ in range(ROUNDS):
-            links = scratch.keep(linked_pairs(neighbours(apart, scratch), texts, words, percent))
+            links = scratch.keep(linked_pairs(neighbours(apart, n_apart, scratch), texts, words, percent), n_apart)
             if links.isEmpty():
                 break
             found.append(links)
-            of = scratch.keep(apart.select("rep", "comp").distinct())
+            of = scratch.keep(apart.select("rep", "comp").distinct(), n_apart)
             ends = links.join(of.withColumnsRenamed({"rep": "a", "comp": "u"}), "a").join(of.withColumnsRenamed({"rep": "b", "comp": "v"}), "b")
-            moved = components(ends.select("u", "v"), scratch).select(F.col("node").alias("comp"), F.col("comp").alias("now"))
+            moved = components(ends.select("u", "v"), scratch, n_apart).select(F.col("node").alias("comp"), F.col("comp").alias("now"))
             apart, dealt = (x.join(moved, "comp", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now") for x in (apart, dealt))
-            apart = scratch.keep(apart)
+            apart = scratch.keep(apart, n_apart)
             still = apart.groupBy("meeting").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("meeting")
-            apart = scratch.keep(apart.join(scratch.keep(still), "meeting"))
-        dealt = dealt.unionByName(apart.drop("size"))
-    dealt = scratch.keep(dealt)
+            apart = scratch.keep(apart.join(scratch.keep(still, n_apart), "meeting"), n_apart)
+            n_apart = apart.count()
+        dealt, n_dealt = dealt.unionByName(apart.drop("size")), n_dealt + n_apart
+    dealt = scratch.keep(dealt, n_dealt)
 
     parts = dealt.groupBy("meeting", "comp").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("meeting").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("largest")).where("most < n")
     shares = sizes.select("meeting", "largest", F.ceil((F.col("n") - F.col("most")) / QUERIES).cast("int").alias("blocks"), F.ceil(F.col("n") / ROWS).cast("int").alias("salts"))
-    dealt = dealt.join(scratch.keep(shares), "meeting")
+    dealt = dealt.join(scratch.keep(shares, n_dealt), "meeting")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("salt", F.pmod(F.xxhash64("comp", "rep"), F.col("salts")).cast("int"))
     own = ["rep", "comp", "after", "home"]
     queries = dealt.where("comp <> largest").select("meeting", "block", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(0).alias("role"), *own)
@@ -392,18 +401,32 @@ def linked_across(members: DataFrame, texts: DataFrame, words: int, percent: int
                 yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.types[4]), pa.array(b, batch.schema.types[4])], names=["a", "b"])
 
     rest = scratch.keep(units.mapInArrow(compare, f"a {kind}, b {kind}").distinct())
-    return reduce(DataFrame.union, found, linked_pairs(rest, texts, words, percent))
+    every = reduce(DataFrame.union, found, linked_pairs(rest, texts, words, percent))
+    return scratch.keep(every, rest.count() + sum(x.count() for x in found))
+
+
+def joined(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the graph with the edges ``u``, ``v``, and for each the smallest node that it reaches."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b, low = at[: len(u)], at[len(u) :], np.arange(len(nodes))
+    while (apart := low[a] != low[b]).any():
+        x, y = low[a[apart]], low[b[apart]]
+        np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+        while (low[low] != low).any():
+            low = low[low]
+    return nodes, nodes[low]
 
 
-def components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, comp) of the graph whose edges are the long columns u, v; nodes need hashed, so random, labels.
+def components(links: DataFrame, scratch: Scratch, rows: int | None = None) -> DataFrame:
+    """(node, comp) of the graph whose edges are the long columns u, v (``rows`` at most, if known); nodes need hashed, so random, labels.
 
     Each round every node moves to the smallest label around it and the graph is rebuilt from the
-    labels, until no edge is left. Random labels shrink chains by a constant share a round.
+    labels, until the edges that are left are few; those the driver joins. Random labels shrink chains by a constant
+    share a round.
     """
-    edges = scratch.keep(links.select("u", "v").where("u <> v").distinct())
+    edges = scratch.keep(links.select("u", "v").where("u <> v").distinct(), rows)
     labels = None
-    while True:
+    while edges.count() > limits.FEW_ROWS:
         ends = edges.union(edges.select("v", "u"))
         hop = scratch.keep(ends.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("to")))
         if labels is None:
@@ -414,8 +437,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         moved = edges.join(hop.withColumnsRenamed({"at": "u", "to": "mu"}), "u").select("mu", "v")
         moved = moved.join(hop.withColumnsRenamed({"at": "v", "to": "mv"}), "v").where("mu <> mv")
         edges = scratch.keep(moved.select(F.least("mu", "mv").alias("u"), F.greatest("mu", "mv").alias("v")).distinct())
-        if edges.isEmpty():
-            return labels
+    rest = edges.toArrow()
+    found = joined(*(rest[c].to_numpy() for c in ("u", "v")))
+    last = scratch.spark.createDataFrame(pa.table(list(found), names=["node", "comp"]), "node bigint, comp bigint")
+    if labels is None:
+        return last
+    last = last.withColumnsRenamed({"node": "at", "comp": "to"})
+    return scratch.keep(labels.join(last, labels.comp == last["at"], "left").select("node", F.coalesce("to", "comp").alias("comp")))
 
 
 def near_duplicates(
@@ -436,6 +464,7 @@ def near_duplicates(
     signs = result.keep(signatures(docs, id_col, text_col, words, permutations, rows))
     sets = signs.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = scratch.keep(sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+    n_classes = classes.count()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     banded = classes.select("rep", F.explode("bands").alias("bucket"))
@@ -444,21 +473,22 @@ def near_duplicates(
 
     # Each document against the smallest one of its buckets.
     pairs = active.groupBy("rep").agg(F.min("hub").alias("a")).where("a < rep").select("a", F.col("rep").alias("b"))
-    links = scratch.keep(linked_pairs(scratch.keep(pairs), texts, words, percent))
+    links = scratch.keep(linked_pairs(scratch.keep(pairs, n_classes), texts, words, percent), n_classes)
     nodes = [F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")]
-    labels = components(links.select(*nodes), scratch)
+    n_links = links.count()
+    labels = components(links.select(*nodes), scratch, n_links)
 
     # Those still apart, by groups of buckets with the same smallest document.
     members = active.select(F.col("hub").alias("group"), "rep").distinct().withColumn("node", F.xxhash64("rep"))
-    members = scratch.keep(members.join(labels, "node", "left").select("group", "rep", F.coalesce("comp", "node").alias("comp")))
-    more = scratch.keep(linked_across(members, texts, words, percent, scratch))
-    if not more.isEmpty():
-        labels = components(links.union(more).select(*nodes), scratch)
+    members = scratch.keep(members.join(labels, "node", "left").select("group", "rep", F.coalesce("comp", "node").alias("comp")), active.count())
+    more = linked_across(members, texts, words, percent, scratch)
+    if n_more := more.count():
+        labels = components(links.union(more).select(*nodes), scratch, n_links + n_more)
 
     placed = classes.select("set_key", "rep", F.xxhash64("rep").alias("node")).join(labels, "node", "left").select("set_key", "rep", F.coalesce("comp", "node").alias("comp"))
-    placed = scratch.keep(placed)
-    roots = scratch.keep(placed.groupBy("comp").agg(F.min("rep").alias("root")))
-    of_set = result.keep(placed.join(roots, "comp").select("set_key", "root"))
+    placed = scratch.keep(placed, n_classes)
+    roots = scratch.keep(placed.groupBy("comp").agg(F.min("rep").alias("root")), n_classes)
+    of_set = result.keep(placed.join(roots, "comp").select("set_key", "root"), n_classes)
     scratch.drop()
     component = F.coalesce("root", "doc_id")
     return signs.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left").select(

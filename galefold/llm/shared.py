@@ -27,6 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Tables of so many rows at most are held by the driver (each a few MB) instead of being written.
+FEW_ROWS = 1 << 16
+
 #: Scratches made while a ``temporary`` block is open, by block.
 _OPEN: list[list[Scratch]] = []
 
@@ -52,8 +55,13 @@ class Scratch:
         if _OPEN:
             _OPEN[-1].append(self)
 
-    def keep(self, frame: DataFrame) -> DataFrame:
-        """Write ``frame`` and return it as read from there."""
+    def keep(self, frame: DataFrame, rows: int | None = None) -> DataFrame:
+        """Write ``frame`` and return it as read from there.
+
+        ``rows``: a number of rows that it can't exceed, if the caller has one. Where those are few, the driver holds them.
+        """
+        if rows is not None and rows <= FEW_ROWS:
+            return self.spark.createDataFrame(frame.toArrow(), frame.schema)
         self.made += 1
         path = f"{self.root}/{self.made:03d}"
         frame.write.parquet(path)

@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from test_corpus_operators import brute_components, brute_kneser_ney
 
-from galefold.llm import bpe, decontam, entry, langid, licences, mainhtml, minmax, perplexity, resample, slots, urlrules
+from galefold.llm import bpe, decontam, entry, langid, licences, mainhtml, minmax, perplexity, resample, shared, slots, urlrules
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -239,6 +239,40 @@ def test_near_duplicates_of_families_around_the_threshold(spark, monkeypatch, la
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == brute_components(rows)
 
 
+@pytest.mark.parametrize("few", [0, 1 << 16])
+def test_near_duplicates_write_no_table_of_few_rows(spark, monkeypatch, few):
+    rng, rows = random.Random(8), []
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(60)]
+        rows += [(len(rows) + 1000 * family + i, " ".join(base[: 60 - rng.randrange(22)] + [f"t{rng.randrange(99)}" for _ in range(rng.randrange(9))])) for i in range(12)]
+    written, keep = [], shared.Scratch.keep
+    monkeypatch.setattr(shared, "FEW_ROWS", few)
+    monkeypatch.setattr(minmax, "LARGE", 3)
+    monkeypatch.setattr(shared.Scratch, "keep", lambda self, *a: (out := keep(self, *a), written.append(id(out) in self.paths))[0])
+    got = minmax.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == brute_components(rows)
+    assert sum(written) <= 12 if few else sum(written) > 20
+
+
+@pytest.mark.parametrize("few", [0, 50, 1 << 16])
+def test_components_whether_written_or_joined_by_the_driver(spark, monkeypatch, few):
+    monkeypatch.setattr(shared, "FEW_ROWS", few)
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(-1 << 62, 1 << 62, (2, 300))
+    u, v = np.concatenate([u, u[:150], v[:99], u[:3]]), np.concatenate([v, u[1:151], v[1:100], u[:3]])
+    edges = spark.createDataFrame(list(zip(u.tolist(), v.tolist(), strict=True)), "u bigint, v bigint")
+    got = {r["node"]: r["comp"] for r in minmax.components(edges, shared.Scratch(spark, "graph"), len(u)).collect()}
+    want = {x: x for x in [*u.tolist(), *v.tolist()]}
+    for _ in range(len(want)):
+        before = dict(want)
+        for x, y in zip(u.tolist(), v.tolist(), strict=True):
+            want[x] = want[y] = min(want[x], want[y])
+        if want == before:
+            break
+    parts = lambda labels: {frozenset(k for k in labels if labels[k] == c) for c in set(labels.values())}
+    assert parts(got) == parts(want)
+
+
 def test_boilerplate_family_stays_cheap(spark):
     """Pages that share two thirds of their words meet nowhere, so none of them is compared."""
     from galefold.llm.shared import Scratch
