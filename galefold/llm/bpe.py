@@ -158,7 +158,7 @@ def scanned(marks: np.ndarray, state: int = DONE, width: int = 128) -> tuple[np.
 class Vocabulary:
     """Ranks of byte strings, with the cache of merged pieces."""
 
-    def __init__(self, file: bytes, classes: np.ndarray, cached: int = 300_000, cached_bytes: int = 16 << 20):
+    def __init__(self, file: bytes, classes: np.ndarray, cached: int = 1 << 17, cached_bytes: int = 16 << 20):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines()) if a}
         self.classes, self.most, self.most_bytes = classes, cached, cached_bytes
         strings = [b""] * (max(self.ranks.values(), default=-1) + 1)
@@ -331,7 +331,6 @@ def split(data: bytes, n: int, cuts: np.ndarray) -> list[bytes]:
 
 @cache
 def _loaded(file: bytes, classes: bytes) -> Vocabulary:
-    release()  # what the worker's earlier stages left
     found = Vocabulary(file, np.frombuffer(classes, np.uint8))
     release()
     return found
@@ -372,6 +371,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     shipped = _shipped(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what the worker's earlier stages left
         vocabulary = _loaded(*shipped.value)
         for batch in batches:
             yield from _encoded(vocabulary, batch, decode)

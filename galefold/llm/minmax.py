@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galefold.llm import shared as limits
-from galefold.llm.shared import Scratch, texts_of, type_of
+from galefold.llm.shared import Scratch, each_text, type_of
 
 #: So many ids at most are broadcast to the scan of the texts; of more, a filter is.
 FEW_IDS = 1_000_000
@@ -132,7 +132,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, permutat
         signer = Signer(permutations, rows)
         for batch in batches:
             sizes, keys, bands = [], [], []
-            for text in texts_of(batch.column(1)):
+            for text in each_text(batch.column(1)):
                 shingles = shingle_hashes(word_hashes(lowered(text or "")), words)
                 sizes.append(len(shingles))
                 keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
@@ -198,7 +198,7 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
         last, known = None, set()
         for batch in batches:
             found = []
-            for hub, a, b in zip(batch.column(0).to_pylist(), texts_of(batch.column(2)), texts_of(batch.column(3)), strict=True):
+            for hub, a, b in zip(batch.column(0).to_pylist(), each_text(batch.column(2)), each_text(batch.column(3)), strict=True):
                 if (hub, a) != last:
                     last, known = (hub, a), word_tuples(a, words)
                 found.append(alike(known, word_tuples(b, words), percent))
@@ -213,11 +213,10 @@ def hashed_sets(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, begin, held = [], 0, 0
-            texts = texts_of(batch.column(1))
-            for i, text in enumerate(texts, 1):
+            for i, text in enumerate(each_text(batch.column(1)), 1):
                 found.append(shingle_hashes(word_hashes(lowered(text or "")), words).view(np.int64))
                 held += len(found[-1])
-                if held > VALUES or i == len(texts):
+                if held > VALUES or i == batch.num_rows:
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i - begin), listed(found)], names=["rep", "shingles"])
                     found, begin, held = [], i, 0
 

@@ -125,6 +125,12 @@ def text_slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, li
     release()
 
 
+def each_text(column: pa.Array) -> Iterator[str | None]:
+    """A column's texts one by one, of which few are Python strings at once."""
+    for _, texts in text_slices(column):
+        yield from texts
+
+
 def runs(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive items whose lengths add up to ``most`` at most, or that hold a single item."""
     begin, total = 0, 0

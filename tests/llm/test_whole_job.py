@@ -3,11 +3,13 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -273,6 +275,18 @@ def test_components_whether_written_or_joined_by_the_driver(spark, monkeypatch,
     assert parts(got) == parts(want)
 
 
+def test_few_texts_are_strings_at_once():
+    texts = [None, "", *(f"{i} " + "x" * 100_000 for i in range(300))]
+    column = pa.array(texts)
+    tracemalloc.start()
+    try:
+        assert sum(len(x or "") for x in shared.each_text(column)) == sum(len(x or "") for x in texts)
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    finally:
+        tracemalloc.stop()
+    assert list(shared.each_text(column)) == texts
+
+
 def test_boilerplate_family_stays_cheap(spark):
     """Pages that share two thirds of their words meet nowhere, so none of them is compared."""
     from galefold.llm.shared import Scratch
